@@ -15,6 +15,8 @@ from campaignlens.operators import (
     curves,
     exploration,
     gains,
+    neighbours,
+    oversampling,
     profiles,
     sampling,
     scoring,
@@ -304,6 +306,44 @@ def scorecard_scores(spark, d):
     return demo.scorecard_scores(spark, d)
 
 
+def _knn_sql(k: int) -> str:
+    d2 = " + ".join(f"(a.{q(c)} - b.{q(c)}) * (a.{q(c)} - b.{q(c)})" for c in TRANSFORMED_FEATURES)
+    return f"""
+select id, round_even(avg(y), 6) as p_uniform,
+ round_even(case when count(*) filter (d2 = 0) > 0 then avg(y) filter (d2 = 0)
+  else sum(y / sqrt(d2)) / sum(1 / sqrt(d2)) end, 6) as p_distance from (
+ select id, y, d2, row_number() over (partition by id order by d2, nid) as rk from (
+  select a.id, b.id as nid, b.target as y, round_even({d2}, 9) as d2
+  from held_x a join fit_x b on b.fit = -1 where a.split = 'test')) where rk <= {k} group by id"""
+
+
+@query(_knn_sql(15))
+def knn_scores(spark, d):
+    test = demo.held_out_features(spark, d).where("split = 'test'")
+    train = demo.fit_features(spark, d).where("fit = -1").withColumn("y", F.col(TARGET))
+    near = neighbours.nearest_neighbours(test, train, 15)
+    uniform = neighbours.neighbour_vote(near, 15).withColumnRenamed("p", "p_uniform")
+    weighted = neighbours.neighbour_vote(near, 15, "distance").withColumnRenamed("p", "p_distance")
+    return r6(uniform.join(weighted, "id"), ["p_uniform", "p_distance"])
+
+
+_MOVED = ", ".join(f"round_even(s.{c} + d.gap * (o.{c} - s.{c}), 6) as {c}" for c in NUMERIC_FEATURES)
+
+
+@query(f"""
+select -d.number - 1 as id, v.age_group, {_MOVED}, 1 as target, true as synthetic
+from smote_draws d join smote_base s on s.place = d.place
+join smote_near n on n.id = s.id and n.rk = d.pick join minority o on o.id = n.nid
+join (select id, age_group, row_number() over (partition by id order by count(*) desc, age_group) as rk from (
+ select n.id, m.age_group from smote_near n join minority m on m.id = n.nid where n.rk <= 5) group by id, age_group) v
+ on v.id = s.id and v.rk = 1""")
+def smotenc_sample(spark, d):
+    rows = demo.fit_features(spark, d).where("fit = -1")
+    groups = demo.assigned(spark, d).select("id", "age_group")
+    made = oversampling.oversample(rows.join(groups, "id")).where("synthetic")
+    return r6(made, NUMERIC_FEATURES)
+
+
 # --- thresholds and economics ---------------------------------------------------------------------
 
 _RATIOS = ["accuracy", "precision", "recall", "f1", "fpr"]

@@ -66,6 +66,8 @@ def _parts() -> dict[str, str]:
     nb_final = ", ".join(
         f"m{i}_{cls}, r{i}_{cls} + epsilon as v{i}_{cls}" for cls in (0, 1) for i in range(len(TRANSFORMED_FEATURES))
     )
+    spreads = ", ".join(f"stddev_pop({c})" for c in NUMERIC_FEATURES)
+    gap2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in NUMERIC_FEATURES)
     split_h, fold_h = hash_sql("id", tag="split"), hash_sql("id", tag="fold")
     campaigns = ", ".join(
         f"max(case when year(o.o_orderdate) = {1994 + k} and o.o_totalprice > 450000 then 1 else 0 end) as c{k}" for k in range(1, 6)
@@ -132,6 +134,18 @@ select f.fit, count(*) as rows, any_value(o.age_group_mode) as age_group_mode,
 from fit_rows f join medians m on m.fit = f.fit join modes o on o.fit = f.fit group by f.fit""",
         "fit_x": f"select f.fit, f.id, f.split, f.fold, f.target, {_prep_columns()} from fit_rows f join stats s on s.fit = f.fit",
         "held_x": f"select s.fit, f.id, f.split, f.fold, f.target, {_prep_columns()} from assigned f join stats s on s.fit = f.fold",
+        "fit_mix": "select f.*, r.age_group from fit_x f join fit_rows r on r.id = f.id and r.fit = f.fit where f.fit = -1",
+        "minority": "select * from fit_mix where target = 1",
+        "penalty": f"select quantile_cont(s, 0.5) as m from (select unnest([{spreads}]) as s from minority)",
+        "smote_near": f"""
+select id, nid, row_number() over (partition by id order by d2, nid) as rk from (
+ select a.id, b.id as nid, round_even({gap2} + case when a.age_group <> b.age_group then p.m * p.m else 0.0 end, 9) as d2
+ from minority a join minority b on a.id <> b.id, penalty p)""",
+        "smote_base": f"select *, row_number() over (order by {hash_sql('id', tag='smote-base')}, id) as place from minority",
+        "smote_draws": f"""
+select number, {hash_sql('number', tag='smote-row')} % (select count(*) from minority) + 1 as place,
+ {hash_sql('number', tag='smote-neighbour')} % 5 + 1 as pick, {hash_sql('number', tag='smote-gap')} / 4294967296.0::double as gap
+from (select unnest(range((select count(*) filter (target = 0) - count(*) filter (target = 1) from fit_mix))) as number)""",
         "nb_raw": f"""
 select fit, avg(target) as prior_1, 1 - avg(target) as prior_0, 1e-9 * {largest} as epsilon, {nb_class}
 from fit_x group by fit""",

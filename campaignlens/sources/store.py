@@ -33,6 +33,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def durable(rows: DataFrame) -> DataFrame:
+    """The same rows with their lineage cut by a reliable checkpoint in the shared folder."""
+    checkpoint_root(rows.sparkSession)
+    return rows.checkpoint()
+
+
 def _path(spark: SparkSession, location: str):
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(location)
