@@ -88,7 +88,6 @@ class Candidate:
                 elasticNetParam=0.0,
                 standardization=False,
                 maxIter=1000,
-                tol=1e-8,
                 **common,
             )
         if self.model == "Decision Tree":

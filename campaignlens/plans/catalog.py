@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from campaignlens.functions import decisions, text
+from campaignlens.functions import decisions
 from campaignlens.functions.hashing import keyed_hash
 from campaignlens.operators import (
     bootstrap,
     calibration,
     checks,
+    classifiers,
     curves,
+    explain,
     exploration,
     gains,
     neighbours,
     oversampling,
+    prep,
     profiles,
+    reporting,
     sampling,
     scoring,
     selection,
@@ -25,7 +30,7 @@ from campaignlens.operators import (
 )
 from campaignlens.operators.naive_bayes import nb_parameters_long
 from campaignlens.operators.ranking import ranked_by_hash
-from campaignlens.plans import demo
+from campaignlens.plans import demo, training, tuning
 from campaignlens.plans.oracle import (
     AP,
     AUC,
@@ -39,7 +44,9 @@ from campaignlens.plans.oracle import (
 )
 from campaignlens.operators.scorecard import scorecard
 from campaignlens.settings import FEATURES, NUMERIC_FEATURES, TARGET, TRANSFORMED_FEATURES, linear_grid
+from campaignlens.sources.store import checkpoint_root
 from campaignlens.sources.warehouse import raw_customers
+from campaignlens.streaming import scoring as streaming_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -271,9 +278,7 @@ _STAT_COLUMNS = [f"{c}_{s}" for c in NUMERIC_FEATURES for s in ("median", "mean"
 
 @query(f"select fit, rows, age_group_mode, {rounded(_STAT_COLUMNS)} from stats")
 def prep_statistics(spark, d):
-    from campaignlens.operators.prep import prep_statistics as fit
-
-    return r6(fit(demo.fit_rows(demo.assigned(spark, d)), ["fit"]), _STAT_COLUMNS)
+    return r6(prep.prep_statistics(demo.fit_rows(demo.assigned(spark, d)), ["fit"]), _STAT_COLUMNS)
 
 
 @query(f"select fit, id, target, {rounded(list(TRANSFORMED_FEATURES))} from held_x")
@@ -284,9 +289,7 @@ def transformed_features(spark, d):
 @query("select target, n, round_even(total / (2.0::double * n), 6) as weight from (select target, count(*) as n, "
        "sum(count(*)) over () as total from splits where split = 'train' group by target)")
 def class_weights(spark, d):
-    from campaignlens.operators.classifiers import balanced_weights
-
-    return r6(balanced_weights(demo.assigned(spark, d).where("split = 'train'")), ["weight"])
+    return r6(classifiers.balanced_weights(demo.assigned(spark, d).where("split = 'train'")), ["weight"])
 
 
 @query("select fit, class, feature, " + rounded(["prior", "mean", "variance"]) + " from (" + " union all ".join(
@@ -645,3 +648,190 @@ def prior_effect_audit(spark, d):
     high = {"previous_campaign_response": F.lit(1), "email_engagement": F.lit(0.2)}
     rows = demo.features(spark, d).select(scorecard(low).alias("p0"), scorecard(high).alias("p1"))
     return r6(checks.effect_audit(rows), ["smallest_gain", "mean_gain"])
+
+
+# --- explainability -------------------------------------------------------------------------------------------
+
+
+def _score_card(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("p", scorecard())
+
+
+def _permutation_sql() -> str:
+    variants = " union all ".join(
+        f"select '{f}' as feature, v.repeat, v.target as y, {_scorecard_sql(**{f: 'd_' + f})} as p from v" for f in FEATURES
+    )
+    f1 = "2 * count(*) filter (p >= 0.25 and y = 1) / (count(*) filter (p >= 0.25) + count(*) filter (y = 1))"
+    return f"""
+select feature, round_even(avg(base - f1), 6) as importance_mean, round_even(stddev_pop(base - f1), 6) as importance_std from (
+ select feature, repeat, {f1} as f1, (select {f1} from card_scores where split = 'test') as base from (
+  {variants.replace(' from v', ' from permuted v')}) group by feature, repeat) group by feature"""
+
+
+@query(_permutation_sql())
+def permutation_importance(spark, d):
+    rows = demo.assigned(spark, d).where("split = 'test'").drop("split", "fold")
+    out = explain.permutation_importance(_score_card, rows, threshold=BATCH_THRESHOLD)
+    return r6(out, ["importance_mean", "importance_std"])
+
+
+@query()
+def shapley_sample(spark, d):
+    rows = demo.assigned(spark, d)
+    values = explain.shapley_values(
+        _score_card, rows.where("split = 'test'"), rows.where("split = 'train'"), permutations=10
+    )
+    return explain.shapley_summary(values)
+
+
+@query()
+def logit_odds_ratios(spark, d):
+    model = classifiers.fit_pipeline(
+        classifiers.Candidate("Logistic Regression", {"C": 0.1}), demo.assigned(spark, d).where("split = 'train'")
+    )
+    return explain.odds_ratios(model)
+
+
+@query()
+def tree_importances(spark, d):
+    model = classifiers.fit_pipeline(
+        classifiers.Candidate("Random Forest", {"n_estimators": 20, "max_depth": 6}),
+        demo.assigned(spark, d).where("split = 'train'"),
+    )
+    return explain.tree_importances(model)
+
+
+# --- model fitting ----------------------------------------------------------------------------------------------
+
+
+def _train(spark, d) -> DataFrame:
+    return demo.assigned(spark, d).where("split = 'train'").drop("split")
+
+
+@query()
+def oof_scores_rf(spark, d):
+    grids = {"Random Forest": {"n_estimators": [20], "max_depth": [6], "min_samples_split": [2]}}
+    scores = tuning.candidate_scores(tuning.FoldData(_train(spark, d)), ["Random Forest"], grids)
+    return scores.select("model", "fold", "id", "y", "p")
+
+
+@query(f"""
+select 'Naive Bayes' as model, i::integer as position, 'var_smoothing=1e-09' as parameters, {rounded(['cv_pr_auc_mean', 'cv_pr_auc_std', 'cv_roc_auc_mean', 'cv_roc_auc_std'])}
+from leaderboard, (select 0 as i) where model = 'Naive Bayes'""")
+def grid_search_naive_bayes(spark, d):
+    grids = {"Naive Bayes": {"var_smoothing": [1e-9]}}
+    scores = tuning.candidate_scores(tuning.FoldData(_train(spark, d)), ["Naive Bayes"], grids)
+    return r6(tuning.grid_results(scores), ["cv_pr_auc_mean", "cv_pr_auc_std", "cv_roc_auc_mean", "cv_roc_auc_std"])
+
+
+@query()
+def grid_search_small(spark, d):
+    models = ["Logistic Regression", "Naive Bayes", "Decision Tree"]
+    scores = tuning.candidate_scores(tuning.FoldData(_train(spark, d)), models, tuning.QUICK_GRIDS)
+    return tuning.grid_results(scores)
+
+
+@query()
+def imbalance_study(spark, d):
+    rows = demo.assigned(spark, d)
+    candidate = classifiers.Candidate("Logistic Regression", {"C": 0.1})
+    return tuning.imbalance_study(
+        candidate, rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split", "fold")
+    )
+
+
+@query()
+def calibration_check(spark, d):
+    rows = demo.assigned(spark, d)
+    found = training.calibrate(
+        classifiers.Candidate("Logistic Regression", {"C": 0.1}),
+        rows.where("split = 'train'"),
+        rows.where("split = 'test'").drop("split", "fold"),
+    )
+    # One row of summary figures; its inputs are the Brier scores of the whole splits.
+    return spark.createDataFrame([tuple(found.values())], ", ".join(
+        f"{k} {'boolean' if isinstance(v, bool) else 'double'}" for k, v in found.items()))
+
+
+# --- streaming and reports -----------------------------------------------------------------------------------------
+
+
+@query("select id, p, case when p >= 0.25 then 'WILL RESPOND' else 'WILL NOT RESPOND' end as \"Prediction\" from card_scores")
+def score_stream(spark, d):
+    source = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
+    demo.features(spark, d).write.parquet(f"{source}/in")
+    arriving = streaming_scoring.customer_stream(spark, f"{source}/in", files_per_trigger=4)
+    streaming_scoring.run_available(
+        streaming_scoring.score_stream(_score_card, arriving), f"{source}/out", f"{source}/progress"
+    )
+    stored = spark.read.parquet(f"{source}/out")
+    return streaming_scoring.decide_stored(stored, BATCH_THRESHOLD).select("id", "p", "Prediction")
+
+
+def _policies(spark, d) -> tuple[DataFrame, DataFrame]:
+    best = thresholds.best_thresholds(thresholds.threshold_sweep(demo.oof_scores(spark, d)))
+    return best, thresholds.strategy_table(demo.test_scores(spark, d), best)
+
+
+_HEAD = """
+select model, max(case when position = 1 then net_profit end) as p1, max(case when position = 2 then net_profit end) as p2,
+ max(case when position = 3 then net_profit end) as p3, max(case when position = 4 then net_profit end) as p4,
+ max(case when position = 1 then contacts end) as c1, max(case when position = 4 then contacts end) as c4,
+ max(case when position = 1 then fp end) as w1, max(case when position = 4 then fp end) as w4,
+ max(case when position = 1 then tp end) as r1, max(case when position = 4 then tp end) as r4,
+ max(case when position = 4 then roi_pct end) as roi4, max(case when position = 4 then cost_saved_pct end) as s4
+from economics group by model"""
+_FIGURES = {
+    ("profit", "net_profit_everyone"): "p1",
+    ("profit", "net_profit_optimal"): "p4",
+    ("profit", "gain_over_everyone"): "p4 - p1",
+    ("profit", "gain_over_everyone_pct"): "case when p1 <> 0 then (p4 - p1)::double / abs(p1) * 100 else 0 end",
+    ("profit", "gain_over_default"): "p4 - p2",
+    ("profit", "gain_over_f1"): "p4 - p3",
+    ("contacts", "contacts_optimal"): "c4",
+    ("contacts", "contacts_avoided"): "c1 - c4",
+    ("contacts", "wasted_avoided_pct"): "(w1 - w4) / w1 * 100",
+    ("cost", "cost_saved"): "(c1 - c4) * 5",
+    ("cost", "cost_saved_pct"): "s4",
+    ("reach", "responders_kept_pct"): "r4 / r1 * 100",
+    ("return", "roi_optimal_pct"): "roi4",
+}
+
+
+@query(" union all ".join(
+    f"select '{s}' as section, '{m}' as metric, model, round_even(({v})::double, 6) as value from ({_HEAD})" for (s, m), v in _FIGURES.items()))
+def report_tables(spark, d):
+    _, policies = _policies(spark, d)
+    return r6(reporting.headline_figures(policies), ["value"])
+
+
+@query("""
+select model, strategy, printf('%.2f', threshold::double) as threshold, contacts::varchar as contacts,
+ '$' || format('{:,.2f}', total_cost::double) as total_cost, tp::varchar as responders_reached, fp::varchar as wasted_contacts,
+ '$' || format('{:,.2f}', gross_revenue::double) as gross_revenue, '$' || format('{:,.2f}', net_profit::double) as net_profit,
+ format('{:,.1f}', roi_pct::double) || '%' as roi, format('{:,.1f}', cost_saved_pct::double) || '%' as cost_saved from economics""")
+def formatted_strategies(spark, d):
+    _, policies = _policies(spark, d)
+    return reporting.formatted_strategies(policies)
+
+
+@query("select m.model || ' report' as document, 'Rows' as label, 'n=' || (m.tn + m.fp + m.fn + m.tp) as value from default_counts m")
+def consistency_anti_join(spark, d):
+    """Key figures that a model's published figures lack: its row count is left out on purpose."""
+    counts = thresholds.confusion(demo.test_scores(spark, d))
+    n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
+    cells = F.array(
+        F.struct(F.lit("Rows").alias("label"), F.concat(F.lit("n="), n).alias("value")),
+        F.struct(F.lit("Responders").alias("label"), F.concat(F.lit("pos="), F.col("fn") + F.col("tp")).alias("value")),
+    )
+    expected = counts.select(F.explode(cells).alias("c")).select("c.*").distinct()
+    documents = counts.select(
+        F.concat("model", F.lit(" report")).alias("document"), F.concat(F.lit("pos="), F.col("fn") + F.col("tp")).alias("value")
+    )
+    return checks.inconsistent_figures(expected, documents)
+
+
+@query("select model, f1_threshold > 0 and profit_threshold > 0 and f1_threshold <> profit_threshold as ok from best")
+def threshold_audit(spark, d):
+    best, _ = _policies(spark, d)
+    return checks.threshold_audit(best).select("model", "ok")

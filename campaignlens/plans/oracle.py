@@ -6,7 +6,7 @@ import re
 
 from campaignlens.functions.hashing import poisson_cutoffs
 from campaignlens.operators.scorecard import INTERCEPT, OLDEST_GROUP_WEIGHT, WEIGHTS
-from campaignlens.settings import AGE_GROUPS, DUMMIES, NUMERIC_FEATURES, TRANSFORMED_FEATURES
+from campaignlens.settings import AGE_GROUPS, DUMMIES, FEATURES, NUMERIC_FEATURES, TRANSFORMED_FEATURES
 
 TWO_PI = 6.283185307179586
 
@@ -236,6 +236,12 @@ select *, tp + fp as contacts, (tp + fp) * 5.0 as total_cost, tp as responders_r
  tp * 50.0 as gross_revenue, tp * 50.0 - (tp + fp) * 5.0 as net_profit,
  case when tp + fp > 0 then (tp * 50.0 - (tp + fp) * 5.0) / ((tp + fp) * 5.0) else 0 end * 100 as roi_pct,
  (tn + fn) / (tn + fp + fn + tp) * 100 as cost_saved_pct from policy_counts""",
+        "tested_features": "select id, target, " + ", ".join(FEATURES) + " from splits where split = 'test'",
+        "permuted": f"""
+select r.*, d.repeat, {", ".join(f"d.{f} as d_{f}" for f in FEATURES)} from
+ (select *, row_number() over (order by {hash_sql("id", tag="permute")}, id) as rk from tested_features) r join
+ (select *, row_number() over (partition by repeat order by {hash_sql("id", "repeat", tag="permute")}, id) as rk
+  from tested_features, (select unnest(range(5)) as repeat) g) d on d.rk = r.rk""",
         "boot_draws": f"""
 select t.*, r.replicate, {hash_sql("t.id", "r.replicate", tag="boot")} as h
 from tested t, (select unnest(range(20))::integer as replicate) r""",
