@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from campaignlens.functions.hashing import keyed_hash, poisson_weight
-from campaignlens.functions.numeric import ratio
+from campaignlens.functions.numeric import count_where, ratio
 from campaignlens.operators.curves import auc_column, average_precision_column
 from campaignlens.operators.quantiles import exact_quantiles
-from campaignlens.operators.ranking import score_groups
+from campaignlens.operators.ranking import SMALL_DOMAIN_DIGITS, score_groups
 from campaignlens.settings import SEED
 
 METRICS = ("roc_auc", "pr_auc", "f1")
+REPLICATES_PER_GROUP = 50
 BOUNDS = {"ci_lower": 0.025, "ci_upper": 0.975}
 
 
@@ -29,41 +30,68 @@ def row_weights(scored: DataFrame, replicates: int, seed: int = SEED, tag: str =
     return tall.withColumn("w", draw).where("w > 0")
 
 
-def grouped_weights(scored: DataFrame, replicates: int, keys: Sequence[str], digits: int, seed: int = SEED) -> DataFrame:
-    """Resampled counts per distinct score and label.
+def _metrics_of_draws(w: np.ndarray, positive: np.ndarray, hit: np.ndarray) -> dict[str, np.ndarray]:
+    """Metrics of weight rows over cells sorted by falling score; ``positive`` marks the label of a cell.
+
+    Cells come in pairs per score: first the positives, then the negatives.
+    """
+    pos, neg = w[:, positive], w[:, ~positive]
+    run_pos, run_neg = pos.cumsum(axis=1), neg.cumsum(axis=1)
+    p_all, n_all = run_pos[:, -1].astype(float), run_neg[:, -1].astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        auc = (pos * (n_all[:, None] - run_neg + neg / 2)).sum(axis=1) / (p_all * n_all)
+        precision = np.where(run_pos + run_neg > 0, run_pos / np.maximum(run_pos + run_neg, 1), 0.0)
+        ap = (pos * precision).sum(axis=1) / p_all
+    tp, fp = pos[:, hit].sum(axis=1), neg[:, hit].sum(axis=1)
+    f1 = 2 * tp / np.maximum(tp + fp + p_all, 1)
+    return {"roc_auc": auc, "pr_auc": ap, "f1": f1, "usable": (p_all > 0) & (n_all > 0)}
+
+
+def grouped_replicates(
+    scored: DataFrame, threshold: float, replicates: int, keys: Sequence[str], digits: int, seed: int = SEED
+) -> DataFrame:
+    """Metrics per replicate from resampled counts per distinct score and label.
 
     The sum of Poisson(1) weights over n equal rows is Poisson(n), so a resample of any number of
-    rows needs one draw per distinct (score, label) cell: at most ``2 * (10**digits + 1)`` cells
-    per key. Draws come from a counter-based generator keyed by cell and replicate range.
+    rows needs one draw per distinct (score, label) cell. One group holds the cells of one key,
+    at most ``2 * (10**digits + 1)`` of them, for one range of replicates.
     """
+    keys = list(keys)
     cells = (
         scored.withColumn("p", F.bround("p", digits))
-        .groupBy(*keys, "p", "y")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("cell", F.xxhash64(*keys, "p", "y", F.lit(seed)))
+        .groupBy(*keys, "p")
+        .agg(count_where(F.col("y") == 1).alias("pos"), F.count(F.lit(1)).alias("rows"))
     )
-    kinds = dict(cells.dtypes)
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", p double, y int, replicate int, w bigint"
-
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                generator = np.random.Generator(np.random.Philox(key=int(row.cell) & 0xFFFFFFFFFFFFFFFF))
-                w = generator.poisson(row.n, replicates)
-                some = np.flatnonzero(w)
-                yield pd.DataFrame(
-                    {**{k: getattr(row, k) for k in keys}, "p": row.p, "y": row.y, "replicate": some.astype("int32"), "w": w[some]}
-                )
-
-    return cells.select(*keys, "p", F.col("y").cast("int").alias("y"), "n", "cell").mapInPandas(draw, schema)
+    ranges = F.sequence(F.lit(0), F.lit((replicates - 1) // REPLICATES_PER_GROUP))
+    spread = cells.withColumn("range", F.explode(ranges)).withColumn("key_hash", F.xxhash64(F.lit(seed), *keys))
+    kinds = dict(scored.dtypes)
+    schema = "".join(f"`{k}` {kinds[k]}, " for k in keys) + "replicate int, roc_auc double, pr_auc double, f1 double"
+
+    def draw(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("p", ascending=False)
+        pos = group["pos"].to_numpy()
+        sizes = np.stack([pos, group["rows"].to_numpy() - pos], axis=1).reshape(-1)
+        positive = np.tile([True, False], len(group))
+        hit = group["p"].to_numpy() >= threshold
+        first = int(group["range"].iloc[0]) * REPLICATES_PER_GROUP
+        numbers = np.arange(first, min(first + REPLICATES_PER_GROUP, replicates))
+        base = int(group["key_hash"].iloc[0]) & 0xFFFFFFFFFFFFFFFF
+        w = np.stack([np.random.Generator(np.random.Philox(key=[base, int(r)])).poisson(sizes) for r in numbers])
+        found = _metrics_of_draws(w, positive, hit)
+        out = pd.DataFrame({"replicate": numbers.astype("int32"), **{m: found[m] for m in METRICS}})[found["usable"]]
+        for k in keys:
+            out[k] = group[k].iloc[0]
+        return out[[*keys, "replicate", *METRICS]]
+
+    return spread.groupBy(*keys, "range").applyInPandas(draw, schema)
 
 
 def replicate_metrics(
-    weighted: DataFrame, threshold: float | Column, keys: Sequence[str] = ("model",), digits: int | None = None
+    weighted: DataFrame, threshold: float, keys: Sequence[str] = ("model",), digits: int | None = None
 ) -> DataFrame:
     """ROC AUC, average precision and F1 per replicate; one-class replicates are skipped."""
     by = [*keys, "replicate"]
-    t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
+    t = F.lit(float(threshold))
     groups = score_groups(weighted, by, digits, weight=F.col("w"))
     hit = F.col("p") >= t
     zero = F.lit(0).cast("bigint")
@@ -96,7 +124,7 @@ def interval_table(metrics: DataFrame, keys: Sequence[str] = ("model",)) -> Data
 
 def bootstrap_ci(
     scored: DataFrame,
-    threshold: float | Column,
+    threshold: float,
     replicates: int = 1000,
     keys: Sequence[str] = ("model",),
     digits: int | None = 4,
@@ -105,15 +133,16 @@ def bootstrap_ci(
 ) -> DataFrame:
     """95% intervals of ROC AUC, average precision and F1.
 
-    ``method="grouped"`` costs replicates times distinct scores whatever the number of rows;
+    ``method="grouped"`` rounds scores to ``digits`` and then costs replicates times distinct
+    scores whatever the number of rows;
     ``method="rows"`` weights every row by a portable keyed hash.
     """
     if method == "rows":
-        weighted = row_weights(scored, replicates, seed)
+        metrics = replicate_metrics(row_weights(scored, replicates, seed), threshold, keys, digits)
     elif method == "grouped":
-        if digits is None:
-            raise ValueError("the grouped bootstrap needs scores rounded to a number of digits")
-        weighted = grouped_weights(scored, replicates, keys, digits, seed)
+        if digits is None or digits > SMALL_DOMAIN_DIGITS:
+            raise ValueError(f"the grouped bootstrap needs scores of at most {SMALL_DOMAIN_DIGITS} digits")
+        metrics = grouped_replicates(scored, threshold, replicates, keys, digits, seed)
     else:
         raise ValueError(f"unknown bootstrap method {method!r}")
-    return interval_table(replicate_metrics(weighted, threshold, keys, digits), keys)
+    return interval_table(metrics, keys)

@@ -76,16 +76,14 @@ def permutation_importance(
     def f1(scored: DataFrame, keys: list[str]) -> DataFrame:
         return with_ratios(confusion(scored.withColumn("y", F.col(label)), threshold, keys)).select(*keys, "f1")
 
-    whole = f1(score(rows).withColumn("all", F.lit(1)), ["all"]).select("all", F.col("f1").alias("baseline"))
+    baseline = f1(score(rows), []).first()["f1"]
     # Several variants of a row share its id, so the scorer gets a number of its own per variant.
     width = len(features) * repeats
     slot = F.array_position(F.array(*[F.lit(f) for f in features]), F.col("feature")) - 1
     variants = permuted_variants(rows, features, repeats, seed).withColumn(
         "id", F.col("id") * F.lit(width) + slot * F.lit(repeats) + F.col("repeat")
     )
-    shuffled = f1(score(variants), ["feature", "repeat"]).withColumn("all", F.lit(1))
-    # ``whole`` is a single row.
-    drops = shuffled.join(F.broadcast(whole), "all").withColumn("drop", F.col("baseline") - F.col("f1"))
+    drops = f1(score(variants), ["feature", "repeat"]).withColumn("drop", F.lit(baseline) - F.col("f1"))
     return drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
 
 

@@ -64,9 +64,17 @@ def running_sums(
     ``sums`` maps a result name to the column that is added up. ``keep(before, upto, total)``
     receives the running sum before and after a bucket and the grand total for ``keep_on``;
     buckets for which it is false are dropped before any of their rows is sorted, which turns
-    the full ranking into a selection of a few positions.
+    the full ranking into a selection of a few positions. At most one bucket per key and wanted
+    position is kept, so the table of kept buckets is broadcast and no other row is shuffled.
+
+    Rows with a missing key or level are left out, in every branch of the plan alike, so that
+    the branches can share their shuffles.
     """
     keys, names = list(keys), [lv.name for lv in levels]
+    if levels:
+        for name in keys + names:
+            rows = rows.where(F.col(name).isNotNull())
+    few = F.broadcast if keep is not None else (lambda part: part)
     totals: dict[int, DataFrame] = {}
     level_rows = rows
     for depth in range(len(levels), 0, -1):
@@ -92,7 +100,7 @@ def running_sums(
             ),
         )
         if offsets is not None:
-            part = part.join(offsets, path)
+            part = part.join(few(offsets), path)
         before = {n: F.col(f"_in_{n}") + F.col(f"_before_{n}") if offsets is not None else F.col(f"_in_{n}") for n in sums}
         part = part.select(
             *keys,
@@ -107,7 +115,7 @@ def running_sums(
         offsets = part.drop(*[f"_size_{n}" for n in sums])
 
     path = keys + names
-    leaf = rows if offsets is None else rows.join(offsets, path)
+    leaf = rows if offsets is None else rows.join(few(offsets), path)
     frame = Window.partitionBy(*path)
     inside = frame.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     added: dict[str, Column] = {}

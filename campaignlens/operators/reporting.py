@@ -163,26 +163,30 @@ def metrics_document(
     parameters: dict[str, object],
 ) -> DataFrame:
     """All published results as one nested row: structs, arrays of records and maps by name."""
-    def as_map(rows: DataFrame, key: str, value: Column, name: str) -> DataFrame:
-        return rows.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(key), value.alias("v"))))).alias(name))
+    def as_map(rows: DataFrame, key: str, value: Column) -> Column:
+        entries = F.sort_array(F.collect_list(F.struct(F.col(key), value.alias("v"))))
+        return rows.agg(F.map_from_entries(entries)).scalar()
 
     board = [c for c in leaderboard.columns if c != "model"]
-    parts = [
-        selected.select("selected", "justification"),
-        best.select("f1_threshold", "profit_threshold"),
-        as_map(leaderboard, "model", F.struct(*board), "cv_metrics"),
-        strategies.agg(F.sort_array(F.collect_list(F.struct("position", *[c for c in strategies.columns if c != "position"]))).alias("business_simulation")),
-        as_map(intervals, "metric", F.struct("ci_lower", "ci_upper", "std"), "bootstrap_confidence_intervals"),
-        as_map(odds, "feature", F.col("odds_ratio"), "logistic_regression_odds_ratios"),
-    ]
-    document = parts[0].withColumn("_one", F.lit(1))
-    for part in parts[1:]:
-        document = document.join(part.withColumn("_one", F.lit(1)), "_one")  # single rows
+    records = F.sort_array(
+        F.collect_list(F.struct("position", *[c for c in strategies.columns if c != "position"]))
+    )
+    # Every part is a single value, fetched as a scalar subquery.
+    document = selected.select(
+        "selected",
+        "justification",
+        best.select("f1_threshold").scalar().alias("f1_optimal_threshold"),
+        best.select("profit_threshold").scalar().alias("profit_optimal_threshold"),
+        as_map(leaderboard, "model", F.struct(*board)).alias("cv_metrics"),
+        strategies.agg(records).scalar().alias("business_simulation"),
+        as_map(intervals, "metric", F.struct("ci_lower", "ci_upper", "std")).alias("bootstrap_confidence_intervals"),
+        as_map(odds, "feature", F.col("odds_ratio")).alias("logistic_regression_odds_ratios"),
+    )
     economics = F.struct(
         F.lit(cost).alias("cost_per_contact"), F.lit(profit).alias("profit_per_responder"), F.lit(cost / profit).alias("break_even_probability")
     )
     scores = F.struct(*[F.lit(v).alias(k) for k, v in brier_scores.items()])
     names = F.create_map(*[cell for k, v in parameters.items() for cell in (F.lit(f"classifier__{k}"), F.lit(str(v)))])
-    return document.drop("_one").withColumns(
+    return document.withColumns(
         {"economic_parameters": economics, "brier_scores": scores, "best_params": text.strip_step_prefix(names)}
     )

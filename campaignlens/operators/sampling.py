@@ -9,17 +9,21 @@ from campaignlens.operators.ranking import hash_cuts, ranked_by_hash
 from campaignlens.settings import SEED, TARGET
 
 
-def _side_of_cuts(hashed: Column, cuts: Column, ids: Column) -> Column:
-    """How many cut points lie strictly before the row in ``(hash, id)`` order."""
-    here = F.struct(hashed.alias("h"), ids.alias("id"))
-    return F.size(F.filter(cuts, lambda cut: cut < here))
+def _cuts_before(cuts: Column, most: int) -> Column:
+    """How many of up to ``most`` cut points lie strictly before the row in ``(hash, id)`` order."""
+    count = F.lit(0)
+    for i in range(most):
+        cut = F.get(cuts, F.lit(i))
+        before = (cut["h"] < F.col("_h")) | ((cut["h"] == F.col("_h")) & (cut["id"] < F.col("id")))
+        count = count + F.when(before, 1).otherwise(0)
+    return count
 
 
 def _with_cuts(rows: DataFrame, stratum: str, hashed: Column, positions) -> DataFrame:
-    """Attach the cut points of each class. The class label has two values, so the broadcast
-    table has two rows (three when some labels are missing)."""
+    """Attach the hash and the cut points of the class. The class label has two values, so the
+    broadcast table has two rows (three when some labels are missing)."""
     cuts = hash_cuts(rows, [stratum], hashed, positions)
-    return rows.join(F.broadcast(cuts), stratum, "left")
+    return rows.withColumn("_h", hashed).join(F.broadcast(cuts), stratum, "left")
 
 
 def stratified_split(
@@ -42,10 +46,10 @@ def stratified_split(
         return [F.bround(n * F.lit(float(fraction)), 0)]
 
     marked = _with_cuts(rows, stratum, hashed, last_of_test)
-    in_second = (F.size("cuts") > 0) & (_side_of_cuts(hashed, F.col("cuts"), F.col("id")) == 0)
+    in_second = (F.size("cuts") > 0) & (_cuts_before(F.col("cuts"), 1) == 0)
     return marked.withColumn(
         output, F.when(in_second, F.lit(names[1])).otherwise(F.lit(names[0]))
-    ).drop("cuts", "n")
+    ).drop("cuts", "n", "_h")
 
 
 def stratified_folds(
@@ -65,7 +69,7 @@ def stratified_folds(
     marked = _with_cuts(rows, stratum, hashed, fold_ends)
     # Classes smaller than k lose coinciding cut points, so the fold is the number of fold
     # ends before the row, counted through the position of the last cut passed.
-    passed = _side_of_cuts(hashed, F.col("cuts"), F.col("id"))
+    passed = _cuts_before(F.col("cuts"), k - 1)
     ends = F.array_distinct(
         F.filter(
             F.array(*[F.ceil(F.col("n") * F.lit(j) / F.lit(float(k))) for j in range(1, k)]), lambda e: e > 0
@@ -73,7 +77,7 @@ def stratified_folds(
     )
     rank_floor = F.when(passed > 0, F.element_at(ends, passed)).otherwise(F.lit(0))
     fold = F.floor(rank_floor * F.lit(k) / F.col("n"))
-    return marked.withColumn(output, F.coalesce(fold, F.lit(0)).cast("int")).drop("cuts", "n")
+    return marked.withColumn(output, F.coalesce(fold, F.lit(0)).cast("int")).drop("cuts", "n", "_h")
 
 
 def hash_sample(rows: DataFrame, size: int = 300, tag: str = "sample", seed: int = SEED) -> DataFrame:

@@ -276,9 +276,9 @@ def hash_rank(spark, d):
 _STAT_COLUMNS = [f"{c}_{s}" for c in NUMERIC_FEATURES for s in ("median", "mean", "std")]
 
 
-@query(f"select fit, rows, age_group_mode, {rounded(_STAT_COLUMNS)} from stats")
+@query(f"select fit, rows, age_group_mode, {rounded(_STAT_COLUMNS, 7)} from stats")
 def prep_statistics(spark, d):
-    return r6(prep.prep_statistics(demo.fit_rows(demo.assigned(spark, d)), ["fit"]), _STAT_COLUMNS)
+    return r6(prep.prep_statistics(demo.fit_rows(demo.assigned(spark, d)), ["fit"]), _STAT_COLUMNS, 7)
 
 
 @query(f"select fit, id, target, {rounded(list(TRANSFORMED_FEATURES))} from held_x")
@@ -824,9 +824,10 @@ def consistency_anti_join(spark, d):
         F.struct(F.lit("Rows").alias("label"), F.concat(F.lit("n="), n).alias("value")),
         F.struct(F.lit("Responders").alias("label"), F.concat(F.lit("pos="), F.col("fn") + F.col("tp")).alias("value")),
     )
-    expected = counts.select(F.explode(cells).alias("c")).select("c.*").distinct()
+    name = F.concat("model", F.lit(" report")).alias("document")
+    expected = counts.select(name, F.explode(cells).alias("c")).select("document", "c.*")
     documents = counts.select(
-        F.concat("model", F.lit(" report")).alias("document"), F.concat(F.lit("pos="), F.col("fn") + F.col("tp")).alias("value")
+        name, F.concat(F.lit("pos="), F.col("fn") + F.col("tp")).alias("value")
     )
     return checks.inconsistent_figures(expected, documents)
 

@@ -129,6 +129,6 @@ def test_bounds_report(spark):
 
 
 def test_inconsistent_figures(spark):
-    expected = spark.createDataFrame([("a", "1.0"), ("b", "2.0")], "label string, value string")
+    expected = spark.createDataFrame([("r", "a", "1.0"), ("r", "b", "2.0"), ("s", "a", "1.0"), ("s", "b", "2.0")], "document string, label string, value string")
     docs = spark.createDataFrame([("r", "1.0"), ("r", "2.0"), ("s", "2.0")], "document string, value string")
     assert [tuple(r) for r in checks.inconsistent_figures(expected, docs).collect()] == [("s", "a", "1.0")]

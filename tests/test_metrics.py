@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from campaignlens.operators import calibration, curves, gains, thresholds
-from campaignlens.operators.bootstrap import bootstrap_ci, grouped_weights
+from campaignlens.operators.bootstrap import _metrics_of_draws, bootstrap_ci, grouped_replicates
 from campaignlens.settings import linear_grid
 from tests.helpers import np_auc, np_average_precision, np_roc, rows_of, scored_frame
 
@@ -212,13 +212,22 @@ def test_rounded_thresholds_and_fixed_campaign_size(spark):
 # --- bootstrap ---
 
 
-def test_grouped_weights_have_the_right_moments(spark):
-    df = spark.createDataFrame([("m", i, 1 if i < 300 else 0, 0.3 if i % 2 else 0.6) for i in range(1200)], "model string, id bigint, y int, p double")
-    w = grouped_weights(df, 400, ["model"], 4).groupBy("p", "y").agg((F.sum("w") / 400).alias("mean"), F.sum(F.col("w") * F.col("w")).alias("sq"))
-    for r in w.collect():
-        n = 150 if r["y"] else 450
-        assert r["mean"] == pytest.approx(n, rel=0.02)
-        assert r["sq"] / 400 - r["mean"] ** 2 == pytest.approx(n, rel=0.3)
+def test_metrics_of_given_weights_match_numpy():
+    p, y = random_scores(80, 1)
+    scores = sorted(set(p.tolist()), reverse=True)
+    w = np.array([[c for s in scores for c in (int(((p == s) & (y == 1)).sum()), int(((p == s) & (y == 0)).sum()))]])
+    found = _metrics_of_draws(w, np.tile([True, False], len(scores)), np.array(scores) >= 0.3)
+    assert found["roc_auc"][0] == pytest.approx(np_auc(p, y))
+    assert found["pr_auc"][0] == pytest.approx(np_average_precision(p, y))
+    hit = p >= 0.3
+    assert found["f1"][0] == pytest.approx(2 * y[hit].sum() / (hit.sum() + y.sum()))
+
+
+def test_grouped_replicates_are_repeatable(spark):
+    df = scored_frame(spark, *random_scores(300, 2))
+    a = rows_of(grouped_replicates(df, 0.3, 120, ["model"], 2), "replicate")
+    b = rows_of(grouped_replicates(df.repartition(5), 0.3, 120, ["model"], 2), "replicate")
+    assert a == b and len(a) == 120
 
 
 def test_both_bootstrap_methods_agree_with_resampling(spark):
