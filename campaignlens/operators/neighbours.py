@@ -216,16 +216,22 @@ def nearest_neighbours(
         *keys, F.col("id").alias("qid"), F.array(*[F.col(f"`{c}`").cast("double") for c in columns]).alias("x")
     )
     routed = durable(_route(points, keys, matrix, units, wanted, True))
-    first = durable(_closest_k(_search(routed, located, keys, wanted, block), keys, wanted))
+    first = _closest_k(_search(routed, located, keys, wanted, block), keys, wanted)
+    if pivots == 1:  # one unit per key: the first round has seen every row
+        return _finished(first.drop("rank"), keys, k, exclude_self)
+    first = durable(first)
     reach = first.groupBy(*keys, "qid").agg(
         F.when(F.count(F.lit(1)) >= wanted, F.sqrt(F.max("d2"))).otherwise(F.lit(float("inf"))).alias("limit")
     )
     routed = durable(_route(points.join(reach, [*keys, "qid"]), keys, matrix, units, wanted, False))
     second = _search(routed, located, keys, wanted, block)
-    merged = first.drop("rank").unionByName(second)
+    return _finished(first.drop("rank").unionByName(second), keys, k, exclude_self)
+
+
+def _finished(found: DataFrame, keys: Sequence[str], k: int, exclude_self: bool) -> DataFrame:
     if exclude_self:
-        merged = merged.where(F.col("id") != F.col("qid"))
-    return _closest_k(merged, keys, k)
+        found = found.where(F.col("id") != F.col("qid"))
+    return _closest_k(found, keys, k)
 
 
 def neighbour_vote(neighbours: DataFrame, k: int, weights: str = "uniform", keys: Sequence[str] = ()) -> DataFrame:

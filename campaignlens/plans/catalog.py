@@ -35,6 +35,7 @@ from campaignlens.plans.oracle import (
     AP,
     AUC,
     RATIOS,
+    TIE_OFFSET,
     _scorecard_sql,
     counts_sql,
     hash_sql,
@@ -66,9 +67,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def r6(rows: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+def r6(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Round doubles for comparison: the order of additions differs between engines."""
-    return rows.withColumns({c: F.bround(F.col(f"`{c}`").cast("double"), digits) for c in columns})
+    return rows.withColumns({c: F.bround(F.col(f"`{c}`").cast("double") + F.lit(TIE_OFFSET), 6) for c in columns})
 
 
 # --- sources and features -------------------------------------------------------------------
@@ -276,9 +277,9 @@ def hash_rank(spark, d):
 _STAT_COLUMNS = [f"{c}_{s}" for c in NUMERIC_FEATURES for s in ("median", "mean", "std")]
 
 
-@query(f"select fit, rows, age_group_mode, {rounded(_STAT_COLUMNS, 7)} from stats")
+@query(f"select fit, rows, age_group_mode, {rounded(_STAT_COLUMNS)} from stats")
 def prep_statistics(spark, d):
-    return r6(prep.prep_statistics(demo.fit_rows(demo.assigned(spark, d)), ["fit"]), _STAT_COLUMNS, 7)
+    return r6(prep.prep_statistics(demo.fit_rows(demo.assigned(spark, d)), ["fit"]), _STAT_COLUMNS)
 
 
 @query(f"select fit, id, target, {rounded(list(TRANSFORMED_FEATURES))} from held_x")

@@ -9,6 +9,9 @@ from campaignlens.operators.scorecard import INTERCEPT, OLDEST_GROUP_WEIGHT, WEI
 from campaignlens.settings import AGE_GROUPS, DUMMIES, FEATURES, NUMERIC_FEATURES, TRANSFORMED_FEATURES
 
 TWO_PI = 6.283185307179586
+# Compared figures are rounded to six digits. An exact tie would be decided by the last bit of a
+# sum, which depends on the order of additions, so both sides add this before rounding.
+TIE_OFFSET = 3.1416e-8
 
 
 def hash_sql(*parts: str, tag: str) -> str:
@@ -282,6 +285,7 @@ AP = "sum(pos / all_pos::double * run_pos / (run_pos + run_neg)::double)"
 
 def with_parts(body: str) -> str:
     """Prefix a query with the common tables it needs, in dependency order."""
+    body = body.replace(", 6)", f" + {TIE_OFFSET!r}::double, 6)")
     parts = _parts()
     order = list(parts)
     needed: set[str] = set()
@@ -298,5 +302,5 @@ def with_parts(body: str) -> str:
     return "with " + ",\n".join(f"{name} as materialized ({parts[name]})" for name in chosen) + "\n" + body
 
 
-def rounded(columns: list[str], digits: int = 6) -> str:
-    return ", ".join(f"round_even({q(c)}::double, {digits}) as {q(c)}" for c in columns)
+def rounded(columns: list[str]) -> str:
+    return ", ".join(f"round_even({q(c)}::double, 6) as {q(c)}" for c in columns)
