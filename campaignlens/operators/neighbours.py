@@ -35,8 +35,8 @@ def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def _ring(distance: np.ndarray, rings: int) -> np.ndarray:
-    return np.minimum(np.floor(8 * np.log2(1 + distance)), rings - 1).astype("int32")
+def _ring(distance: np.ndarray) -> np.ndarray:
+    return np.minimum(np.floor(8 * np.log2(1 + distance)), RINGS - 1).astype("int32")
 
 
 def _field_list(rows: DataFrame, names: Sequence[str]) -> str:
@@ -44,7 +44,7 @@ def _field_list(rows: DataFrame, names: Sequence[str]) -> str:
     return ", ".join(f"`{n}` {kinds[n]}" for n in names)
 
 
-def _in_units(rows: DataFrame, keep: Sequence[str], pivots: np.ndarray, columns: Sequence[str], rings: int) -> DataFrame:
+def _in_units(rows: DataFrame, keep: Sequence[str], pivots: np.ndarray, columns: Sequence[str]) -> DataFrame:
     """Rows with coordinates as one array and their unit ``(cell, ring)``."""
     packed = rows.select(*keep, F.array(*[F.col(f"`{c}`").cast("double") for c in columns]).alias("x"))
 
@@ -54,7 +54,7 @@ def _in_units(rows: DataFrame, keep: Sequence[str], pivots: np.ndarray, columns:
                 d = _distances(np.vstack(batch["x"].to_numpy()), pivots)
                 cell = d.argmin(axis=1)
                 near = d[np.arange(len(d)), cell]
-                yield batch.assign(cell=cell.astype("int32"), ring=_ring(near, rings), reach=near)
+                yield batch.assign(cell=cell.astype("int32"), ring=_ring(near), reach=near)
 
     schema = _field_list(packed, [*keep, "x"]) + ", cell int, ring int, reach double"
     return packed.mapInPandas(locate, schema)
@@ -197,14 +197,17 @@ def nearest_neighbours(
     wanted = k + 1 if exclude_self else k
     if pivots is None:
         pivots = min(MAX_PIVOTS, -(-train.count() // block))
-    rings = RINGS if pivots > 1 else 1
+    coordinates = F.array(*[F.col(f"`{c}`").cast("double") for c in columns]).alias("x")
+    points = queries.select(*keys, F.col("id").alias("qid"), coordinates)
+    if pivots <= 1:
+        one_unit = {"cell": F.lit(0), "ring": F.lit(0)}
+        whole = train.select(*keys, "id", F.col("y").cast("int").alias("y"), coordinates).withColumns(one_unit)
+        return _finished(_search(points.withColumns(one_unit), whole, keys, wanted, block), keys, k, exclude_self)
     # At most MAX_PIVOTS rows.
     centres = hash_sample(train.select("id", *[F.col(f"`{c}`") for c in columns]), pivots, tag="pivot").collect()
-    if not centres:
-        return train.sparkSession.createDataFrame([], _field_list(train, keys) + (", " if keys else "") + "qid bigint, id bigint, y int, d2 double, rank int")
     matrix = np.array([[float(row[c]) for c in columns] for row in centres])
 
-    located = durable(_in_units(train.withColumn("y", F.col("y").cast("int")), [*keys, "id", "y"], matrix, columns, rings))
+    located = durable(_in_units(train.withColumn("y", F.col("y").cast("int")), [*keys, "id", "y"], matrix, columns))
     # At most pivots x rings rows per key.
     units = (
         located.groupBy(*keys, "cell", "ring")
@@ -212,14 +215,8 @@ def nearest_neighbours(
         .orderBy(*keys, "cell", "ring")
         .toPandas()
     )
-    points = queries.select(
-        *keys, F.col("id").alias("qid"), F.array(*[F.col(f"`{c}`").cast("double") for c in columns]).alias("x")
-    )
     routed = durable(_route(points, keys, matrix, units, wanted, True))
-    first = _closest_k(_search(routed, located, keys, wanted, block), keys, wanted)
-    if pivots == 1:  # one unit per key: the first round has seen every row
-        return _finished(first.drop("rank"), keys, k, exclude_self)
-    first = durable(first)
+    first = durable(_closest_k(_search(routed, located, keys, wanted, block), keys, wanted))
     reach = first.groupBy(*keys, "qid").agg(
         F.when(F.count(F.lit(1)) >= wanted, F.sqrt(F.max("d2"))).otherwise(F.lit(float("inf"))).alias("limit")
     )

@@ -13,41 +13,71 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from campaignlens.functions.numeric import clean
-from campaignlens.operators.quantiles import medians_wide
+from campaignlens.operators.quantiles import quantiles_of_counts, value_counts
 from campaignlens.settings import AGE_GROUPS, DUMMIES, NUMERIC_FEATURES, TRANSFORMED_FEATURES
 
 
-def prep_statistics(train: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """One row per key: median, mean and population deviation after imputation, most frequent group.
-
-    ``keys`` allows many fits in one job, for example one per cross-validation fold. Mean and
-    deviation after imputation follow from the observed values, so the medians are not needed
-    before the second pass starts.
-    """
-    if not keys:
-        return prep_statistics(train.withColumn("_fit", F.lit(0)), ["_fit"]).drop("_fit")
-    keys = list(keys)
-    medians = medians_wide(train, NUMERIC_FEATURES, keys)
+def _fold_summaries(train: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Row-level work of a fit: value counts, moments and group sizes per ``by``."""
     observed = []
     for c in NUMERIC_FEATURES:
         value = clean(F.col(c))
         observed += [
             F.count(value).alias(f"{c}_seen"),
-            F.avg(value).alias(f"{c}_avg"),
-            F.var_pop(value).alias(f"{c}_var"),
+            F.coalesce(F.avg(value), F.lit(0.0)).alias(f"{c}_avg"),
+            F.coalesce(F.var_pop(value), F.lit(0.0)).alias(f"{c}_var"),
         ]
-    moments = train.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *observed)
-    groups = (
-        train.where(F.col("age_group").isNotNull())
-        .groupBy(*keys, "age_group")
-        .agg(F.count(F.lit(1)).alias("size"))
+    counts = value_counts(train, NUMERIC_FEATURES, by)
+    moments = train.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *observed)
+    groups = train.where(F.col("age_group").isNotNull()).groupBy(*by, "age_group").agg(F.count(F.lit(1)).alias("size"))
+    return counts, moments, groups
+
+
+def _statistics(counts: DataFrame, moments: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Statistics per key from summaries that may hold several rows per key.
+
+    Mean and deviation after imputation follow from the observed values and the median.
+    """
+    keys = list(keys)
+    medians = quantiles_of_counts(counts, {"q": 0.5}, keys)
+    medians = medians.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("column") == c, F.col("q"))).alias(f"{c}_median") for c in NUMERIC_FEATURES]
+    )
+    common = (
+        groups.groupBy(*keys, "age_group")
+        .agg(F.sum("size").alias("size"))
         .groupBy(*keys)
         .agg(F.min_by("age_group", F.struct(-F.col("size"), F.col("age_group"))).alias("age_group_mode"))
     )
-    joined = moments.join(medians, keys, "left").join(groups, keys, "left")
+    # A handful of rows per key, so the window holds only summaries.
+    same = Window.partitionBy(*keys)
+    centred = moments.withColumns(
+        {
+            f"{c}_all": F.try_divide(
+                F.sum(F.col(f"{c}_seen") * F.col(f"{c}_avg")).over(same), F.sum(f"{c}_seen").over(same)
+            )
+            for c in NUMERIC_FEATURES
+        }
+    )
+    pooled = centred.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"),
+        *[
+            part
+            for c in NUMERIC_FEATURES
+            for part in (
+                F.sum(f"{c}_seen").alias(f"{c}_seen"),
+                F.max(f"{c}_all").alias(f"{c}_avg"),
+                F.try_divide(
+                    F.sum(F.col(f"{c}_seen") * (F.col(f"{c}_var") + F.pow(F.col(f"{c}_avg") - F.col(f"{c}_all"), 2))),
+                    F.sum(f"{c}_seen"),
+                ).alias(f"{c}_var"),
+            )
+        ],
+    )
+    joined = pooled.join(medians, keys, "left").join(common, keys, "left")
     final = []
     for c in NUMERIC_FEATURES:
         n, seen = F.col("rows"), F.col(f"{c}_seen")
@@ -58,9 +88,30 @@ def prep_statistics(train: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return joined.select(*keys, "rows", *final, "age_group_mode")
 
 
+def prep_statistics(train: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per key: median, mean and population deviation after imputation, most frequent group."""
+    if not keys:
+        return prep_statistics(train.withColumn("_fit", F.lit(0)), ["_fit"]).drop("_fit")
+    return _statistics(*_fold_summaries(train, keys), keys)
+
+
+def fold_statistics(train: DataFrame, fits: Sequence[int]) -> DataFrame:
+    """Statistics of many fits, keyed by ``fit``, where fit ``f`` uses all rows outside fold ``f``.
+
+    Rows are summarized once per fold; only the summaries are repeated per fit. A number in
+    ``fits`` that is no fold stands for a fit on all rows.
+    """
+    wanted = F.filter(F.array(*[F.lit(f) for f in fits]), lambda f: f != F.col("fold"))
+    spread = lambda rows: rows.withColumn("fit", F.explode(wanted)).drop("fold")
+    counts, moments, groups = _fold_summaries(train, ["fold"])
+    merged = spread(counts).groupBy("fit", "column", "value").agg(F.sum("n").alias("n"))
+    return _statistics(merged, spread(moments), spread(groups), ["fit"])
+
+
 def _scaled(c: str, median: Column, mean: Column, std: Column) -> Column:
+    """Imputed and standardized value; zero for a constant column or one without any value."""
     filled = F.coalesce(clean(F.col(c)), median)
-    return F.when(std == 0, F.lit(0.0)).otherwise((filled - mean) / std)
+    return F.when(std > 0, (filled - mean) / std).otherwise(F.lit(0.0))
 
 
 def transformed(rows: DataFrame, statistics: DataFrame, keys: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:

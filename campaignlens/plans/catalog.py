@@ -279,7 +279,8 @@ _STAT_COLUMNS = [f"{c}_{s}" for c in NUMERIC_FEATURES for s in ("median", "mean"
 
 @query(f"select fit, rows, age_group_mode, {rounded(_STAT_COLUMNS)} from stats")
 def prep_statistics(spark, d):
-    return r6(prep.prep_statistics(demo.fit_rows(demo.assigned(spark, d)), ["fit"]), _STAT_COLUMNS)
+    train = demo.assigned(spark, d).where("split = 'train'")
+    return r6(prep.fold_statistics(train, [demo.FULL_FIT, *range(demo.FOLDS)]), _STAT_COLUMNS)
 
 
 @query(f"select fit, id, target, {rounded(list(TRANSFORMED_FEATURES))} from held_x")
@@ -737,7 +738,10 @@ def imbalance_study(spark, d):
     rows = demo.assigned(spark, d)
     candidate = classifiers.Candidate("Logistic Regression", {"C": 0.1})
     return tuning.imbalance_study(
-        candidate, rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split", "fold")
+        candidate,
+        rows.where("split = 'train'").drop("split"),
+        rows.where("split = 'test'").drop("split", "fold"),
+        parallelism=4,
     )
 
 

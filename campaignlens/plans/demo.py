@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from campaignlens.operators.features import engineer_features
 from campaignlens.operators.naive_bayes import fit_gaussian_nb, score_gaussian_nb
-from campaignlens.operators.prep import prep_statistics, transformed
+from campaignlens.operators.prep import fold_statistics, transformed
 from campaignlens.operators.sampling import stratified_folds, stratified_split
 from campaignlens.operators.scorecard import SCORE_DIGITS, scorecard
 from campaignlens.settings import TARGET
@@ -55,7 +55,9 @@ def fit_rows(rows: DataFrame, k: int = FOLDS) -> DataFrame:
 def statistics(spark: SparkSession, directory: str) -> DataFrame:
     """Preprocessing statistics per fit: ``FOLDS + 1`` rows."""
     return session_table(
-        spark, f"statistics:{directory}", lambda: prep_statistics(fit_rows(assigned(spark, directory)), ["fit"])
+        spark,
+        f"statistics:{directory}",
+        lambda: fold_statistics(assigned(spark, directory).where("split = 'train'"), [FULL_FIT, *range(FOLDS)]),
     )
 
 

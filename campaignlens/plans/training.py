@@ -60,16 +60,17 @@ def run_analysis(
     grids: Mapping[str, Mapping[str, list]] | None = None,
     with_imbalance: bool = True,
     replicates: int = 1000,
+    k: int = 5,
     parallelism: int = 2,
     cost: float = COST_PER_CONTACT,
     profit: float = PROFIT_PER_RESPONDER,
 ) -> Analysis:
     """Everything up to the test set uses training rows only; the test rows are scored once."""
     split = durable(stratified_split(features))
-    train = durable(stratified_folds(split.where("split = 'train'")))
+    train = durable(stratified_folds(split.where("split = 'train'"), k))
     test = split.where("split = 'test'")
 
-    candidates, oof, results = tune(train, models, grids, parallelism=parallelism)
+    candidates, oof, results = tune(train, models, grids, k, parallelism)
     board = durable(selection.dev_leaderboard(oof))
     chosen = durable(selection.select_model(board))
     winner = chosen.first()["selected"]
@@ -80,7 +81,7 @@ def run_analysis(
 
     study = None
     if with_imbalance and winner not in ("Naive Bayes", "K-Nearest Neighbors"):
-        study = durable(imbalance_study(candidates[winner], train, test, parallelism=parallelism))
+        study = durable(imbalance_study(candidates[winner], train, test, k, parallelism))
     briers = calibrate(candidates[winner], train, test)
 
     fitted = {m: FittedModel(c, train.drop("split", "fold")) for m, c in candidates.items()}

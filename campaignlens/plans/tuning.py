@@ -23,7 +23,7 @@ from campaignlens.operators.curves import ranking_metrics
 from campaignlens.operators.naive_bayes import fit_gaussian_nb, score_gaussian_nb
 from campaignlens.operators.neighbours import nearest_neighbours, neighbour_vote
 from campaignlens.operators.oversampling import encode_group, oversample
-from campaignlens.operators.prep import prep_statistics, transformed
+from campaignlens.operators.prep import fold_statistics, prep_statistics, transformed
 from campaignlens.operators.selection import fold_summary
 from campaignlens.operators.thresholds import confusion, with_ratios
 from campaignlens.settings import TARGET, TRANSFORMED_FEATURES
@@ -63,7 +63,7 @@ class FoldData:
         self.k = k
         others = F.filter(F.array(*[F.lit(f) for f in range(k)]), lambda f: f != F.col("fold"))
         repeated = train.withColumn("fit", F.explode(others))
-        statistics = durable(prep_statistics(repeated, ["fit"]))
+        statistics = durable(fold_statistics(train, range(k)))
         packed = array_to_vector(F.array(*[F.col(f"`{c}`") for c in TRANSFORMED_FEATURES]))
         carry = ["fold", TARGET, "age_group"]
         shaped = lambda rows: transformed(rows, statistics, ["fit"], carry).withColumn("features", packed)

@@ -17,6 +17,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 VERSION_FILE = "_VERSION"
+_RUN = uuid.uuid4().hex[:12]
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -33,10 +34,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _run_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/campaignlens-{spark.sparkContext.applicationId}-{_RUN}"
+
+
 def durable(rows: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut by a reliable checkpoint in the shared folder."""
-    checkpoint_root(rows.sparkSession)
-    return rows.checkpoint()
+    """The same rows, written once to the shared folder and read back.
+
+    Later passes keep column pruning and real table sizes, and nothing upstream is recomputed when
+    an executor is lost.
+    """
+    spark = rows.sparkSession
+    location = f"{_run_folder(spark)}/{uuid.uuid4().hex[:16]}"
+    rows.write.parquet(location)
+    return spark.read.parquet(location)
 
 
 def _path(spark: SparkSession, location: str):
@@ -73,7 +84,6 @@ def materialize(
 
 
 _SESSION_TABLES: dict[tuple[str, str], str] = {}
-_RUN = uuid.uuid4().hex[:12]
 
 
 def session_table(spark: SparkSession, key: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()) -> DataFrame:
@@ -82,7 +92,7 @@ def session_table(spark: SparkSession, key: str, build: Callable[[], DataFrame],
     location = _SESSION_TABLES.get((app, key))
     if location is None:
         name = hashlib.md5(key.encode()).hexdigest()[:16]
-        location = f"{checkpoint_root(spark)}/campaignlens-{app}-{_RUN}/{name}"
+        location = f"{_run_folder(spark)}/{name}"
         writer = build().write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

@@ -174,7 +174,7 @@ def test_segments_come_in_order(spark):
 def test_full_analysis(spark, tmp_path):
     features = demo.features(spark, DIRECTORY)
     grids = {"Logistic Regression": {"C": [0.1, 1.0]}, "Naive Bayes": {"var_smoothing": [1e-9]}, "Decision Tree": {"max_depth": [3], "min_samples_split": [2], "criterion": ["gini"]}}
-    found = training.run_analysis(features, tuple(grids), grids, replicates=100)
+    found = training.run_analysis(features, tuple(grids), grids, replicates=100, k=3, parallelism=4)
     assert found.selected in grids and found.deployed_name.startswith(found.selected)
     assert found.model_card.count() == 3
     assert [r["position"] for r in found.strategies.orderBy("position").collect()] == [1, 2, 3, 4]

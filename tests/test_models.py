@@ -9,7 +9,7 @@ from campaignlens.operators import classifiers, explain
 from campaignlens.operators.naive_bayes import fit_gaussian_nb, score_gaussian_nb
 from campaignlens.operators.neighbours import nearest_neighbours, neighbour_vote
 from campaignlens.operators.oversampling import category_penalty, oversample
-from campaignlens.operators.prep import CampaignPreprocessor, prep_statistics, transformed
+from campaignlens.operators.prep import CampaignPreprocessor, fold_statistics, prep_statistics, transformed
 from campaignlens.operators.sampling import hash_sample, permuted_donors, stratified_folds, stratified_split
 from campaignlens.operators.scorecard import scorecard
 from campaignlens.operators.selection import select_model
@@ -128,10 +128,21 @@ def test_keyed_fit_equals_separate_fits(spark, assigned):
         assert together[name] == (alone[name] if isinstance(alone[name], str) else pytest.approx(alone[name]))
 
 
+def test_fold_summaries_give_the_same_fits(spark, assigned):
+    train = assigned.where("split = 'train'")
+    repeated = prep_statistics(demo.fit_rows(assigned), ["fit"]).orderBy("fit").collect()
+    merged = fold_statistics(train, [-1, *range(5)]).orderBy("fit").collect()
+    assert len(repeated) == len(merged) == 6
+    for a, b in zip(repeated, merged):
+        for name in a.__fields__:
+            assert b[name] == (a[name] if isinstance(a[name], str) else pytest.approx(a[name], rel=1e-9))
+
+
 def test_fold_without_any_income(spark):
     rows = [(i, "26-35", None, 1.0, 0.5, 0, 3.0, 0.2, 0.1, i % 2) for i in range(4)]
-    stats = prep_statistics(feature_frame(spark, rows)).first()
-    assert stats["income_median"] is None
+    stats = prep_statistics(feature_frame(spark, rows))
+    assert stats.first()["income_median"] is None
+    assert {r["income"] for r in transformed(feature_frame(spark, rows), stats).collect()} == {0.0}
 
 
 def test_pipeline_stage_round_trip(spark, tmp_path, assigned):

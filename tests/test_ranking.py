@@ -78,7 +78,7 @@ def test_hash_rank_is_a_permutation(spark):
     assert sorted(got) == list(range(1, 5001))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.floats(-1e12, 1e12), st.sampled_from([0.0, -0.0, 1.0, 1e-300, -5.5])), min_size=1, max_size=60))
 def test_quantiles_match_numpy(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
