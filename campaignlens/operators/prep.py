@@ -13,7 +13,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from campaignlens.functions.numeric import clean
 from campaignlens.operators.quantiles import quantiles_of_counts, value_counts
@@ -24,11 +24,11 @@ def _fold_summaries(train: DataFrame, by: Sequence[str]) -> tuple[DataFrame, Dat
     """Row-level work of a fit: value counts, moments and group sizes per ``by``."""
     observed = []
     for c in NUMERIC_FEATURES:
-        value = clean(F.col(c))
+        value = f"CASE WHEN NOT isnan(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) END"
         observed += [
-            F.count(value).alias(f"{c}_seen"),
-            F.coalesce(F.avg(value), F.lit(0.0)).alias(f"{c}_avg"),
-            F.coalesce(F.var_pop(value), F.lit(0.0)).alias(f"{c}_var"),
+            F.expr(f"count({value}) AS {c}_seen"),
+            F.expr(f"coalesce(avg({value}), 0D) AS {c}_avg"),
+            F.expr(f"coalesce(var_pop({value}), 0D) AS {c}_var"),
         ]
     counts = value_counts(train, NUMERIC_FEATURES, by)
     moments = train.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *observed)
@@ -44,7 +44,7 @@ def _statistics(counts: DataFrame, moments: DataFrame, groups: DataFrame, keys:
     keys = list(keys)
     medians = quantiles_of_counts(counts, {"q": 0.5}, keys)
     medians = medians.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("column") == c, F.col("q"))).alias(f"{c}_median") for c in NUMERIC_FEATURES]
+        *[F.expr(f"max(CASE WHEN column = '{c}' THEN q END) AS {c}_median") for c in NUMERIC_FEATURES]
     )
     common = (
         groups.groupBy(*keys, "age_group")
@@ -53,39 +53,42 @@ def _statistics(counts: DataFrame, moments: DataFrame, groups: DataFrame, keys:
         .agg(F.min_by("age_group", F.struct(-F.col("size"), F.col("age_group"))).alias("age_group_mode"))
     )
     # A handful of rows per key, so the window holds only summaries.
-    same = Window.partitionBy(*keys)
-    centred = moments.withColumns(
-        {
-            f"{c}_all": F.try_divide(
-                F.sum(F.col(f"{c}_seen") * F.col(f"{c}_avg")).over(same), F.sum(f"{c}_seen").over(same)
-            )
-            for c in NUMERIC_FEATURES
-        }
+    same = "OVER (PARTITION BY " + ", ".join(keys) + ")"
+    centred = moments.selectExpr(
+        "*",
+        *[f"try_divide(sum({c}_seen * {c}_avg) {same}, sum({c}_seen) {same}) AS {c}_all" for c in NUMERIC_FEATURES],
     )
     pooled = centred.groupBy(*keys).agg(
         F.sum("rows").alias("rows"),
         *[
-            part
+            F.expr(part)
             for c in NUMERIC_FEATURES
             for part in (
-                F.sum(f"{c}_seen").alias(f"{c}_seen"),
-                F.max(f"{c}_all").alias(f"{c}_avg"),
-                F.try_divide(
-                    F.sum(F.col(f"{c}_seen") * (F.col(f"{c}_var") + F.pow(F.col(f"{c}_avg") - F.col(f"{c}_all"), 2))),
-                    F.sum(f"{c}_seen"),
-                ).alias(f"{c}_var"),
+                f"sum({c}_seen) AS {c}_seen",
+                f"max({c}_all) AS {c}_avg",
+                f"try_divide(sum({c}_seen * ({c}_var + pow({c}_avg - {c}_all, 2))), sum({c}_seen)) AS {c}_var",
             )
         ],
     )
     joined = pooled.join(medians, keys, "left").join(common, keys, "left")
-    final = []
-    for c in NUMERIC_FEATURES:
-        n, seen = F.col("rows"), F.col(f"{c}_seen")
-        lost, avg, med = n - seen, F.col(f"{c}_avg"), F.col(f"{c}_median")
-        mean = (seen * avg + lost * med) / n
-        spread = (seen * (F.col(f"{c}_var") + F.pow(avg - mean, 2)) + lost * F.pow(med - mean, 2)) / n
-        final += [med.alias(f"{c}_median"), mean.alias(f"{c}_mean"), F.sqrt(spread).alias(f"{c}_std")]
-    return joined.select(*keys, "rows", *final, "age_group_mode")
+    means = joined.selectExpr(
+        "*",
+        *[
+            f"({c}_seen * {c}_avg + (rows - {c}_seen) * coalesce({c}_median, 0D)) / rows AS {c}_mean"
+            for c in NUMERIC_FEATURES
+        ],
+    )
+    final = [
+        cell
+        for c in NUMERIC_FEATURES
+        for cell in (
+            f"{c}_median",
+            f"{c}_mean",
+            f"sqrt(({c}_seen * ({c}_var + pow({c}_avg - {c}_mean, 2))"
+            f" + (rows - {c}_seen) * pow(coalesce({c}_median, 0D) - {c}_mean, 2)) / rows) AS {c}_std",
+        )
+    ]
+    return means.selectExpr(*keys, "rows", *final, "age_group_mode")
 
 
 def prep_statistics(train: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
