@@ -14,6 +14,7 @@ from campaignlens.operators.sampling import hash_sample, permuted_donors, strati
 from campaignlens.operators.scorecard import scorecard
 from campaignlens.operators.selection import select_model
 from campaignlens.plans import demo, tuning
+from campaignlens.sources.store import durable
 from campaignlens.settings import AGE_GROUPS, DUMMIES, FEATURES, NUMERIC_FEATURES, TRANSFORMED_FEATURES
 from tests.helpers import FEATURE_ROW, rows_of
 
@@ -238,8 +239,8 @@ def test_votes(spark):
 
 def test_oversampling_properties(spark, assigned):
     train = assigned.where("split = 'train'")
-    x = transformed(train, prep_statistics(train), carry=["target", "age_group"])
-    grown = oversample(x).cache()
+    x = durable(transformed(train, prep_statistics(train), carry=["target", "age_group"]))
+    grown = durable(oversample(x))
     sizes = {r["target"]: r["count"] for r in grown.groupBy("target").count().collect()}
     assert sizes[0] == sizes[1]
     kept = grown.where("not synthetic")
