@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from campaignlens.llm.common import in_fold
 
@@ -128,7 +128,8 @@ def _judge(dictionaries: Dictionaries, min_margin: float, level: int):
     return judge
 
 
-_LETTERS = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
+def _letters() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
 
 
 def identify(
@@ -147,7 +148,7 @@ def identify(
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], SCHEMA.names)
 
     held_out = in_fold(F.col("doc_id"), 4, 2).alias("held_out")
-    return docs.select("doc_id", held_out, "text", _LETTERS).mapInArrow(predict, SCHEMA)
+    return docs.select("doc_id", held_out, "text", _letters()).mapInArrow(predict, SCHEMA)
 
 
 def kept_documents(
@@ -168,4 +169,4 @@ def kept_documents(
             kept = pa.RecordBatch.from_arrays(columns, names)
             yield kept.filter(pa.array([not f[2] for f in found], pa.bool_()))
 
-    return docs.select("*", _LETTERS).mapInArrow(keep, docs.schema)
+    return docs.select("*", _letters()).mapInArrow(keep, docs.schema)
