@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from campaignlens.llm import langid, mixing, packing, sharding
+from campaignlens.llm import langid, mixing, packing, pii, sharding, simhash
 from campaignlens.llm.common import in_fold, read_table
 
 
@@ -37,11 +37,33 @@ def op10_language_id(spark: SparkSession, directory: str) -> DataFrame:
     return langid.identify(docs, langid.train(training.select("doc_id", "text", "lang")))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, directory, "documents"))
+
+
+def op2_weakly_supervised_pii(spark: SparkSession, directory: str) -> DataFrame:
+    found = pii.found(read_table(spark, directory, "documents"))
+    base = F.filter("candidates", lambda c: c["base"])
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("candidates", lambda c: c["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in pii.BASE_KINDS],
+        F.sha2(pii.listing(base).cast("binary"), 256).alias("base_sha256"),
+        pii.listing(F.col("spans")).alias("spans"),
+    )
+
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op7_external_shuffle": op7_external_shuffle,
     "op8_source_mixing": op8_source_mixing,
     "op10_language_id": op10_language_id,
+    "op2_weakly_supervised_pii": op2_weakly_supervised_pii,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}
