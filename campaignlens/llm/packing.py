@@ -27,7 +27,7 @@ PIECES_PER_TASK = 65536
 TOKENIZER = "word_bpe_49k.json"
 SEPARATOR = 0
 
-_CACHED_CHUNKS = 600_000
+_CACHED_CHUNKS = 1_000_000
 _CACHED_BYTES = 64
 
 PIECE_SCHEMA = T.StructType(
@@ -43,10 +43,21 @@ IDS = T.StructField("ids", T.BinaryType())
 PLACE = [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable stand-ins that byte-level vocabularies use for bytes: those that print stand for themselves,
+    the others follow from code point 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class ChunkIds(dict):
     """Token ids (little-endian, 32 bits) of chunks between ASCII white space, remembered per worker.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of its chunks.
+    Case doesn't matter to it and punctuation is cut off words, so most new chunks are known words
+    plus a mark. A new word of letters below U+0130, which has one normal form and one lower-case form, needs the
+    library's BPE model only; every other chunk takes the library's whole path.
     """
 
     def __init__(self, tokenizer: str):
@@ -55,18 +66,39 @@ class ChunkIds(dict):
         from tokenizers import Tokenizer
 
         path = tokenizer if os.path.isabs(tokenizer) else public_tokenizers.path(tokenizer)
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True
+        # the short cuts hold for lower-casing vocabularies with word ends and dropped white space
+        self.by_word = self.whole.encode("Ab. ", add_special_tokens=False).ids == [
+            i for part in ("ab", ".") for i in self.whole.encode(part, add_special_tokens=False).ids
+        ] and getattr(self.whole.model, "end_of_word_suffix", None) is not None
+        self.bpe = self.whole.model.tokenize
+        self.letters = _byte_letters()
 
     def __missing__(self, chunk: bytes) -> bytes:
-        encoded = self.model.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False)
-        ids = np.array(encoded.ids, dtype="<u4").tobytes()
+        ids = self._encode(chunk)
         if len(chunk) <= _CACHED_BYTES:
             if len(self) >= _CACHED_CHUNKS:
                 self.clear()
             self[chunk] = ids
         return ids
 
+    def _encode(self, chunk: bytes) -> bytes:
+        if self.by_word and len(chunk) <= _CACHED_BYTES:
+            if chunk[-1] in b".,!?;:|" and len(chunk) > 1 and chunk[-2:-1].isalnum():
+                return self[chunk[:-1]] + self[chunk[-1:]]
+            if chunk.isalpha():  # ASCII letters
+                small = chunk.lower()
+                if small != chunk:
+                    return self[small]
+                return np.array([t.id for t in self.bpe(chunk.decode())], dtype="<u4").tobytes()
+            word = chunk.decode("utf-8", "replace")
+            if word.isalpha() and max(word) < "\u0130":
+                stand_in = word.lower().encode().decode("latin-1").translate(self.letters)
+                return np.array([t.id for t in self.bpe(stand_in)], dtype="<u4").tobytes()
+        encoded = self.whole.encode_batch_fast([chunk.decode("utf-8", "replace")], add_special_tokens=False)[0]
+        return np.array(encoded.ids, dtype="<u4").tobytes()
+
     def ids(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.split()))
 
