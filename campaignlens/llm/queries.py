@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from campaignlens.llm import langid, mixing, packing, pii, sharding, simhash
+from campaignlens.llm import langid, mixing, packing, pii, sharding, simhash, topk
 from campaignlens.llm.common import in_fold, read_table
 
 
@@ -57,6 +57,12 @@ def op2_weakly_supervised_pii(spark: SparkSession, directory: str) -> DataFrame:
 
 
 
+def op3_maxscore_top_k(spark: SparkSession, directory: str) -> DataFrame:
+    vectors = read_table(spark, directory, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % topk.QUERY_STEP == 0)
+
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op7_external_shuffle": op7_external_shuffle,
@@ -64,6 +70,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op2_weakly_supervised_pii": op2_weakly_supervised_pii,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op3_maxscore_top_k": op3_maxscore_top_k,
 }
 
 ORACLE: dict[str, str] = {}
