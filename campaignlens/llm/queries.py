@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from campaignlens.llm import langid, mixing, packing, pii, sharding, simhash, topk
-from campaignlens.llm.common import in_fold, read_table
+from campaignlens.llm import kneser_ney, langid, mixing, packing, pii, sharding, simhash, topk
+from campaignlens.llm.common import Workspace, in_fold, read_table
 
 
 def op1_best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
@@ -63,6 +63,17 @@ def op3_maxscore_top_k(spark: SparkSession, directory: str) -> DataFrame:
 
 
 
+def op9_kneser_ney_scoring(spark: SparkSession, directory: str) -> DataFrame:
+    docs = read_table(spark, directory, "documents")
+    held_out = in_fold(F.col("doc_id"), 5, 1)
+    model = kneser_ney.train(docs.filter(~held_out), Workspace(spark))
+    return kneser_ney.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score", "perplexity",
+    )
+
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op7_external_shuffle": op7_external_shuffle,
@@ -71,6 +82,7 @@ QUERIES = {
     "op2_weakly_supervised_pii": op2_weakly_supervised_pii,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op3_maxscore_top_k": op3_maxscore_top_k,
+    "op9_kneser_ney_scoring": op9_kneser_ney_scoring,
 }
 
 ORACLE: dict[str, str] = {}
