@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from campaignlens.llm import kneser_ney, langid, mixing, packing, pii, sharding, simhash, topk
+from campaignlens.llm import kneser_ney, langid, mixing, packing, pii, quality, sharding, simhash, topk
 from campaignlens.llm.common import Workspace, in_fold, read_table
 
 
@@ -74,6 +74,14 @@ def op9_kneser_ney_scoring(spark: SparkSession, directory: str) -> DataFrame:
 
 
 
+def op5_perplexity_quality(spark: SparkSession, directory: str) -> DataFrame:
+    judged = quality.judged(read_table(spark, directory, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity",
+    )
+
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op7_external_shuffle": op7_external_shuffle,
@@ -83,6 +91,7 @@ QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op3_maxscore_top_k": op3_maxscore_top_k,
     "op9_kneser_ney_scoring": op9_kneser_ney_scoring,
+    "op5_perplexity_quality": op5_perplexity_quality,
 }
 
 ORACLE: dict[str, str] = {}
