@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from campaignlens.llm import kneser_ney, langid, mixing, packing, pii, quality, sharding, simhash, topk
+from campaignlens.llm import kneser_ney, langid, mixing, packing, pii, quality, sharding, simhash, topk, toxicity
 from campaignlens.llm.common import Workspace, in_fold, read_table
 
 
@@ -82,6 +82,15 @@ def op5_perplexity_quality(spark: SparkSession, directory: str) -> DataFrame:
 
 
 
+def op6_recurrent_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs, labels = (read_table(spark, directory, name) for name in ("documents", "labels"))
+    held_out = in_fold(F.col("doc_id"), 3, 1)
+    network = toxicity.fit(*toxicity.training_sample(docs, labels.filter(~held_out)))
+    predicted = (F.col("score") >= toxicity.TOXIC_AT).cast("int").alias("predicted")
+    return toxicity.scored(docs, network).select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op7_external_shuffle": op7_external_shuffle,
@@ -92,6 +101,7 @@ QUERIES = {
     "op3_maxscore_top_k": op3_maxscore_top_k,
     "op9_kneser_ney_scoring": op9_kneser_ney_scoring,
     "op5_perplexity_quality": op5_perplexity_quality,
+    "op6_recurrent_toxicity": op6_recurrent_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
