@@ -1,11 +1,11 @@
 """Toxicity of texts by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word's input is an embedding of the word (for words of the training vocabulary) next to the mean embedding of its
-character trigrams. A text is cut into overlapping windows; every window is read in both directions, its states are
+A word's input is an embedding of the word (for words of the training vocabulary) next to the summed embeddings of
+its character trigrams, scaled by the root of their number. A text is cut into overlapping windows; every window is read in both directions, its states are
 pooled by attention and give one probability. A text's score is that of its most toxic window.
 
-Labels are per text, so training learns from windows: first those of toxic texts with the words that occur mostly
-in toxic texts, then those that the network itself finds most toxic; clean texts give random windows first and
+Labels are per text, so training learns from windows: first those of toxic texts with the words or word
+beginnings and endings that occur mostly in toxic texts, then those that the network itself finds most toxic; clean texts give random windows first and
 their highest-scored ones later.
 
 Defined results: a null or empty text, or one without words, has score 0; without labels of both classes every score is
@@ -34,7 +34,7 @@ WINDOW = 32
 STRIDE = 24
 TOXIC_AT = 0.7
 SEED = 42
-EPOCHS = 8
+EPOCHS = 6
 VOCABULARY = 20_000
 WORD_SIZE, CHAR_SIZE, HIDDEN, ATTENTION = 12, 8, 8, 8
 TRIGRAM_BUCKETS = 4096
@@ -48,6 +48,12 @@ def _normal(words: list[bytes]) -> list[bytes]:
     return [w.strip(_EDGES) or w for w in words]
 
 
+def _affixes(word: bytes) -> list[bytes]:
+    """The marked word and its first and last three to six bytes."""
+    marked = b"<" + word + b">"
+    return [marked, *[marked[:k] for k in range(4, 8)], *[marked[-k:] for k in range(4, 8)]]
+
+
 def _trigrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Trigram buckets of all words between boundary marks, and the word each belongs to."""
     flat = np.frombuffer(b"<" + b"><".join(words) + b">", np.uint8).astype(np.int64)
@@ -70,7 +76,7 @@ class Network:
         p = self.parameters
         number = np.fromiter((self.vocabulary.get(w, 0) for w in words), np.int64, len(words))
         buckets, owner = _trigrams(words)
-        counts = np.maximum(np.bincount(owner, minlength=len(words)), 1)[:, None]
+        counts = np.sqrt(np.maximum(np.bincount(owner, minlength=len(words)), 1))[:, None]
         sums = np.zeros((len(words), CHAR_SIZE), np.float32)
         if len(owner):
             firsts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
@@ -194,7 +200,7 @@ def _gradients(network: Network, words: list[list[bytes]], labels: np.ndarray) -
     g["words"] = np.zeros_like(p["words"])
     np.add.at(g["words"], [network.vocabulary.get(w, 0) for w in distinct], d_x[:, :WORD_SIZE])
     buckets, owner = _trigrams(distinct)
-    counts = np.maximum(np.bincount(owner, minlength=len(distinct)), 1)
+    counts = np.sqrt(np.maximum(np.bincount(owner, minlength=len(distinct)), 1))
     g["chars"] = np.zeros_like(p["chars"])
     np.add.at(g["chars"], buckets, (d_x[:, WORD_SIZE:] / counts[:, None])[owner])
     return g
@@ -218,13 +224,16 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
     rng = np.random.default_rng(seed)
     split = [_normal(t.lower().split()) for t in texts]
     found = Counter(w for ws in split for w in set(ws))
-    toxic = Counter(w for ws, y in zip(split, labels, strict=True) if y for w in set(ws))
+    signs = [{a for w in set(ws) for a in _affixes(w)} for ws in split]
+    held = Counter(a for found_here in signs for a in found_here)
+    toxic = Counter(a for found_here, y in zip(signs, labels, strict=True) if y for a in found_here)
     common = sorted((w for w, n in found.items() if n >= 3), key=lambda w: (-found[w], w))[:VOCABULARY]
     network = Network({w: i for i, w in enumerate(common, start=1)}, {})
     p = network.parameters = _initial(network.vocabulary, rng)
     share = sum(labels) / len(labels)
-    # evidence of a word: how far its toxic texts exceed the share of toxic texts, in standard deviations
-    evidence = {w: (toxic[w] - n * share) / (n * share * (1 - share) + 1) ** 0.5 for w, n in found.items()}
+    # evidence of a word or affix: how far its toxic texts exceed the share of toxic texts, in standard deviations
+    evidence = {a: (toxic[a] - n * share) / (n * share * (1 - share) + 1) ** 0.5 for a, n in held.items()}
+    by_word = {w: max(evidence[a] for a in _affixes(w)) for w in found}
     windows = [[ws[i : i + WINDOW] for i in range(0, max(1, len(ws) - WINDOW + STRIDE), STRIDE)] for ws in split if ws]
     of = [y for ws, y in zip(split, labels, strict=True) if ws]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
@@ -247,7 +256,7 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
             if scores is not None:
                 value = scores[i]
             elif y:
-                value = np.array([max((evidence[w] for w in win), default=0) for win in ws])
+                value = np.array([max((by_word[w] for w in win), default=0) for win in ws])
             else:
                 value = rng.random(len(ws))
             best = np.argsort(-value, kind="stable")
