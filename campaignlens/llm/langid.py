@@ -129,7 +129,7 @@ def _judge(dictionaries: Dictionaries, min_margin: float, level: int):
 
 
 def _letters() -> Column:
-    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__has_letters")
 
 
 def identify(

@@ -197,8 +197,10 @@ def mixed_documents(docs: DataFrame, workspace: Workspace | None = None, **optio
     """
     workspace = workspace or Workspace(docs.sparkSession)
     taken = mix(docs, workspace=workspace, **options).filter("taken > 0")
-    held = docs.withColumn("size", word_count(F.col("text")))
-    held = workspace.table(held.withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(256))), "salted")
+    record = F.struct(*[docs[c] for c in docs.columns]).alias("record")  # other columns' names can't clash in it
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(256)).alias("salt")
+    held = docs.select("doc_id", "source", "text", record, word_count(F.col("text")).alias("size"), salt)
+    held = workspace.table(held, "salted")
     key = ["doc_id", "source", "size"]
     salts = held.groupBy(*key, "salt").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(*key).orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -222,8 +224,6 @@ def mixed_documents(docs: DataFrame, workspace: Workspace | None = None, **optio
         F.array_repeat(F.col("text"), F.col("passes").cast("int")),
         F.when(cut_words > 0, F.array(partial)).otherwise(F.array().cast("array<string>")),
     )
-    columns = [c for c in docs.columns if c not in ("text", "n_chars")]
-    exploded = joined.select(*columns, F.explode(texts).alias("text"))
-    if "n_chars" in docs.columns:
-        exploded = exploded.withColumn("n_chars", F.char_length("text").cast("bigint"))
-    return exploded.select(*docs.columns)
+    exploded = joined.select("record", F.explode(texts).alias("clean"))
+    new = {"text": F.col("clean"), "n_chars": F.char_length("clean").cast("bigint")}
+    return exploded.select(*[new.get(c, F.col("record").getField(c)).alias(c) for c in docs.columns])

@@ -168,7 +168,7 @@ def annotated(docs: DataFrame) -> DataFrame:
         return F.transform(kept, lambda s: _candidate(text, kind, s))
 
     parts = [of(kind) for kind in patterns]
-    return spans.select(*[F.col(f"`{c}`") for c in docs.columns], F.array_sort(F.concat(*parts)).alias("candidates"))
+    return spans.select(*docs.columns, F.array_sort(F.concat(*parts)).alias("candidates"))
 
 
 @dataclass(frozen=True)
@@ -276,10 +276,10 @@ def redacted(text: Column, spans: Column) -> Column:
 def redacted_documents(docs: DataFrame, workspace: Workspace | None = None) -> DataFrame:
     """The documents with personal data replaced in ``text`` and ``n_chars`` recounted; all columns, all rows."""
     workspace = workspace or Workspace(docs.sparkSession)
-    candidates = workspace.table(annotated(docs), "candidates")
+    record = F.struct(*[docs[c] for c in docs.columns]).alias("record")  # other columns' names can't clash in it
+    candidates = workspace.table(annotated(docs.select("text", record)), "candidates")
     model = train(candidates.select("candidates"), workspace)
-    clean = candidates.withColumn("candidates", accepted(model))
-    clean = clean.withColumn("text", redacted(F.col("text"), F.col("candidates")))
-    if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.char_length("text").cast("bigint"))
-    return clean.select(*docs.columns)
+    spans = candidates.withColumn("candidates", accepted(model))
+    clean = spans.select("record", redacted(F.col("record.text"), F.col("candidates")).alias("clean"))
+    new = {"text": F.col("clean"), "n_chars": F.char_length("clean").cast("bigint")}
+    return clean.select(*[new.get(c, F.col("record").getField(c)).alias(c) for c in docs.columns])

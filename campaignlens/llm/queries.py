@@ -104,4 +104,61 @@ QUERIES = {
     "op6_recurrent_toxicity": op6_recurrent_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+#: Searches by brute force over all pairs of a query and a row.
+_TOP_K = """
+WITH v AS (
+    SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND coalesce(list_sum([CASE WHEN x IS NULL OR isnan(x) OR isinf(x) THEN 1 ELSE 0 END for x in embedding]), 0) = 0
+), scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+#: Ranks every quotient instead of the few that can be the last ones.
+_MIXING = """
+WITH d AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
+), s AS (
+    SELECT source, source_size, place, CASE (place - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+    FROM (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source)
+), levels AS (
+    SELECT *, (sum(source_size) OVER ())::BIGINT AS total,
+        coalesce(sum(3 * source_size) OVER (ORDER BY source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
+        (sum(weight) OVER (ORDER BY source_size / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS weight_left
+    FROM s
+), marked AS (
+    SELECT *, 3 * source_size * weight_left < weight * (total - before) AS capped FROM levels
+), targeted AS (
+    SELECT source, source_size, place, total, CAST(ceil(source_size / 16) AS BIGINT) AS blocks,
+        coalesce(CASE WHEN capped THEN 3.0::DOUBLE * source_size ELSE
+            ((total - coalesce(sum(CASE WHEN capped THEN 3 * source_size END) OVER (), 0))::BIGINT * weight)::DOUBLE
+            / (sum(CASE WHEN NOT capped THEN weight END) OVER ())::BIGINT END, 0.0::DOUBLE) AS target
+    FROM marked
+), quotients AS (
+    SELECT place, total, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, place) AS nth
+    FROM (SELECT place, total, target, unnest(range(0, 3 * blocks)) AS k FROM targeted)
+), plan AS (
+    SELECT t.*, coalesce(quota, 0) AS quota,
+        coalesce(('0x' || md5(concat_ws('|', '42', t.source, 'start'))[1:8])::BIGINT % nullif(blocks, 0), 0) AS first
+    FROM targeted t LEFT JOIN (
+        SELECT place, count(*) AS quota FROM quotients WHERE nth <= (2 * total + 16) // 32 GROUP BY place
+    ) q ON t.place = q.place
+), spans AS (
+    SELECT *, coalesce(quota // nullif(blocks, 0), 0) AS passes, coalesce(quota % nullif(blocks, 0), 0) AS run FROM plan
+), placed AS (
+    SELECT doc_id, source, size, coalesce(sum(size) OVER (
+        PARTITION BY source ORDER BY md5(concat_ws('|', '42', source, doc_id, size)), doc_id, size
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins FROM d
+)
+SELECT p.doc_id, p.size, source_size, target,
+    (passes * p.size
+     + greatest(least(least((first + run) * 16, source_size), begins + p.size) - greatest(first * 16, begins), 0)
+     + greatest(least(greatest(first + run - blocks, 0) * 16, begins + p.size) - begins, 0))::BIGINT AS taken
+FROM placed p JOIN spans ON p.source IS NOT DISTINCT FROM spans.source
+"""
+
+ORACLE = {"op3_maxscore_top_k": _TOP_K, "op8_source_mixing": _MIXING}
