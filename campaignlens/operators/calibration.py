@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from campaignlens.functions.numeric import count_where
 from campaignlens.operators.sampling import stratified_folds
+from campaignlens.sources.store import durable
 
 RELIABILITY_BINS = 10
 
@@ -63,11 +64,8 @@ def sigmoid(p: Column, slope: float, intercept: float) -> Column:
 
 def out_of_fold_calibrated(scored: DataFrame, k: int = 5) -> DataFrame:
     """``(id, y, p, calibrated)``: every row calibrated by a curve fitted on the other folds."""
-    folded = stratified_folds(scored, k, stratum="y", tag="calibration", output="cal_fold").persist()
-    try:
-        curves = [fit_sigmoid(folded.where(F.col("cal_fold") != f)) for f in range(k)]
-    finally:
-        folded.unpersist()
+    folded = durable(stratified_folds(scored, k, stratum="y", tag="calibration", output="cal_fold"))
+    curves = [fit_sigmoid(folded.where(F.col("cal_fold") != f)) for f in range(k)]
     value = F.lit(None).cast("double")
     for f, (slope, intercept) in enumerate(curves):
         value = F.when(F.col("cal_fold") == f, sigmoid(F.col("p"), slope, intercept)).otherwise(value)

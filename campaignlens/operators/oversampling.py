@@ -30,12 +30,14 @@ def category_penalty(minority: DataFrame, numeric: Sequence[str] = NUMERIC_FEATU
     return float(median(values)) if values else 0.0
 
 
-def minority_neighbours(rows: DataFrame, k: int = NEIGHBOURS, numeric: Sequence[str] = NUMERIC_FEATURES, label: str = TARGET) -> DataFrame:
-    """The k nearest other minority rows of every minority row: ``(qid, id, d2, rank)``.
+def minority_neighbours(
+    rows: DataFrame, k: int = NEIGHBOURS, numeric: Sequence[str] = NUMERIC_FEATURES, label: str = TARGET, smaller: int = 1
+) -> DataFrame:
+    """The k nearest other rows of every row of the smaller class: ``(qid, id, d2, rank)``.
 
     Categories enter as scaled indicators, so two different ones are one penalty apart.
     """
-    minority = rows.where(F.col(label) == 1)
+    minority = rows.where(F.col(label) == smaller)
     scale = category_penalty(minority, numeric) / 2**0.5
     marks = {f"_g{i}": F.coalesce((F.col("age_group") == g).cast("double"), F.lit(0.0)) * F.lit(scale) for i, g in enumerate(AGE_GROUPS)}
     points = minority.select("id", F.col(label).alias("y"), *numeric, "age_group").withColumns(marks)
@@ -47,17 +49,19 @@ def oversample(rows: DataFrame, k: int = NEIGHBOURS, numeric: Sequence[str] = NU
 
     Each synthetic row starts at a random minority row, moves a random part of the way to one of
     its k neighbours in every numeric column, and takes the most frequent category of the
-    neighbours. ``rows`` must hold the positives as the smaller class. Choices come from keyed
+    neighbours. Whichever class is smaller grows. Choices come from keyed
     hashes, so the result is the same on any partitioning.
     """
     spark = rows.sparkSession
     size = rows.agg(count_where(F.col(label) == 1).alias("pos"), count_where(F.col(label) == 0).alias("neg")).first()
     kept = rows.select("id", "age_group", *numeric, label, F.lit(False).alias("synthetic"))
-    missing = size["neg"] - size["pos"]
-    if missing <= 0 or size["pos"] < 2:
+    smaller = 1 if size["pos"] <= size["neg"] else 0
+    few, many = sorted((size["pos"], size["neg"]))
+    missing = many - few
+    if not missing or few < 2:
         return kept
-    minority = rows.where(F.col(label) == 1)
-    near = minority_neighbours(rows, k, numeric, label)
+    minority = rows.where(F.col(label) == smaller)
+    near = minority_neighbours(rows, k, numeric, label, smaller)
     values = minority.select(F.col("id"), "age_group", *numeric)
     around = (
         near.select("qid", "id", "rank")
@@ -79,7 +83,7 @@ def oversample(rows: DataFrame, k: int = NEIGHBOURS, numeric: Sequence[str] = NU
     number = F.col("number")
     draws = spark.range(missing).withColumnRenamed("id", "number").select(
         "number",
-        (F.pmod(keyed_hash(number, tag="smote-row", seed=seed), F.lit(size["pos"])) + 1).alias("place"),
+        (F.pmod(keyed_hash(number, tag="smote-row", seed=seed), F.lit(few)) + 1).alias("place"),
         keyed_hash(number, tag="smote-neighbour", seed=seed).alias("pick"),
         (keyed_hash(number, tag="smote-gap", seed=seed) / F.lit(float(HASH_RANGE))).alias("gap"),
     )
@@ -88,7 +92,7 @@ def oversample(rows: DataFrame, k: int = NEIGHBOURS, numeric: Sequence[str] = NU
         (-F.col("number") - 1).alias("id"),
         F.col("category").alias("age_group"),
         *[(F.col(c) + F.col("gap") * (other[c] - F.col(c))).alias(c) for c in numeric],
-        F.lit(1).alias(label),
+        F.lit(smaller).alias(label),
         F.lit(True).alias("synthetic"),
     )
     return kept.unionByName(made)

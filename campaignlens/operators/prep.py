@@ -120,6 +120,8 @@ def _scaled(c: str, median: Column, mean: Column, std: Column) -> Column:
 def transformed(rows: DataFrame, statistics: DataFrame, keys: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
     """The 11 model columns from fitted statistics; an unknown age group encodes to zeros.
 
+    A carried ``age_group`` is the imputed one, the same that the indicators encode.
+
     ``statistics`` has one row per fit (a handful of folds), which bounds the broadcast.
     """
     if not keys:
@@ -137,7 +139,7 @@ def transformed(rows: DataFrame, statistics: DataFrame, keys: Sequence[str] = ()
         F.coalesce((group == F.lit(name)).cast("double"), F.lit(0.0)).alias(dummy)
         for name, dummy in zip(AGE_GROUPS[1:], DUMMIES)
     ]
-    kept = [c for c in dict.fromkeys([*keys, "id", *carry])]
+    kept = [group.alias(c) if c == "age_group" else F.col(c) for c in dict.fromkeys([*keys, "id", *carry])]
     return joined.select(*kept, *columns)
 
 

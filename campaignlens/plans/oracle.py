@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import re
 
-from campaignlens.functions.hashing import poisson_cutoffs
 from campaignlens.operators.scorecard import INTERCEPT, OLDEST_GROUP_WEIGHT, WEIGHTS
 from campaignlens.settings import AGE_GROUPS, DUMMIES, FEATURES, NUMERIC_FEATURES, TRANSFORMED_FEATURES
 
 TWO_PI = 6.283185307179586
-# Compared figures are rounded to six digits. An exact tie would be decided by the last bit of a
-# sum, which depends on the order of additions, so both sides add this before rounding.
-TIE_OFFSET = 3.1416e-8
+# A Poisson(1) draw by inversion from a 32-bit hash steps to the next integer at these.
+POISSON_STEPS = (1580030169, 3160060337, 3950075422, 4213413783, 4279248374, 4292415292, 4294609778, 4294923276, 4294962463, 4294966817, 4294967253, 4294967292)
 
 
 def hash_sql(*parts: str, tag: str) -> str:
@@ -153,6 +151,23 @@ from (select unnest(range((select count(*) filter (target = 0) - count(*) filter
 select fit, avg(target) as prior_1, 1 - avg(target) as prior_0, 1e-9 * {largest} as epsilon, {nb_class}
 from fit_x group by fit""",
         "nb": f"select fit, epsilon, prior_0, prior_1, {nb_final} from nb_raw",
+        "nb_grid_raw": """
+select r.* replace (r.epsilon * g.factor as epsilon), g.position, g.parameters from nb_raw r,
+ (values (0, 1.0::double, 'var_smoothing=1e-09'), (1, 10.0, 'var_smoothing=1e-08'), (2, 100.0, 'var_smoothing=1e-07'),
+  (3, 1000.0, 'var_smoothing=1e-06')) g(position, factor, parameters)""",
+        "nb_grid": f"select position, parameters, fit, epsilon, prior_0, prior_1, {nb_final} from nb_grid_raw",
+        "nb_grid_scores": f"""
+select p.position, p.parameters, f.fold, f.id, f.target as y,
+ 1.0 / (1.0 + exp(({_likelihood(0)}) - ({_likelihood(1)}))) as p
+from held_x f join nb_grid p on p.fit = f.fit where f.split = 'train'""",
+        "nb_grid_curve": """
+select position, parameters, fold, p, sum(y) as pos, sum(1 - y) as neg,
+ sum(sum(y)) over (partition by position, fold order by p desc) as run_pos,
+ sum(sum(1 - y)) over (partition by position, fold order by p desc) as run_neg,
+ sum(sum(y)) over (partition by position, fold) as all_pos,
+ sum(sum(1 - y)) over (partition by position, fold) as all_neg from nb_grid_scores group by position, parameters, fold, p""",
+        "nb_grid_folds": f"""
+select position, parameters, fold, {AUC} as roc_auc, {AP} as pr_auc from nb_grid_curve group by position, parameters, fold""",
         "nb_scores": f"""
 select f.id, f.target as y, f.split, f.fold,
  round_even(1.0 / (1.0 + exp(({_likelihood(0)}) - ({_likelihood(1)}))), 4) as p
@@ -247,9 +262,9 @@ select r.*, d.repeat, {", ".join(f"d.{f} as d_{f}" for f in FEATURES)} from
   from tested_features, (select unnest(range(5)) as repeat) g) d on d.rk = r.rk""",
         "boot_draws": f"""
 select t.*, r.replicate, {hash_sql("t.id", "r.replicate", tag="boot")} as h
-from tested t, (select unnest(range(20))::integer as replicate) r""",
+from tested t, (select unnest(range(1000))::integer as replicate) r""",
         "boot_weights": f"""
-select *, ({" + ".join(f"(h >= {c})::bigint" for c in poisson_cutoffs())}) as w from boot_draws""",
+select *, ({" + ".join(f"(h >= {c})::bigint" for c in POISSON_STEPS)}) as w from boot_draws""",
         "boot_curve": """
 select model, replicate, p, sum(w * y) as pos, sum(w * (1 - y)) as neg,
  sum(sum(w * y)) over (partition by model, replicate order by p desc) as run_pos,
@@ -285,7 +300,6 @@ AP = "sum(pos / all_pos::double * run_pos / (run_pos + run_neg)::double)"
 
 def with_parts(body: str) -> str:
     """Prefix a query with the common tables it needs, in dependency order."""
-    body = body.replace(", 6)", f" + {TIE_OFFSET!r}::double, 6)")
     parts = _parts()
     order = list(parts)
     needed: set[str] = set()
@@ -303,4 +317,4 @@ def with_parts(body: str) -> str:
 
 
 def rounded(columns: list[str]) -> str:
-    return ", ".join(f"round_even({q(c)}::double, 6) as {q(c)}" for c in columns)
+    return ", ".join(f"round_even(round_even({q(c)}::double, 11), 6) as {q(c)}" for c in columns)

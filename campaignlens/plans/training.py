@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from campaignlens.operators import calibration, explain, reporting, selection, thresholds
@@ -16,7 +15,7 @@ from campaignlens.operators.sampling import stratified_folds, stratified_split
 from campaignlens.plans.tuning import FittedModel, imbalance_study, tune
 from campaignlens.settings import COST_PER_CONTACT, NUMERIC_FEATURES, PROFIT_PER_RESPONDER, TARGET
 from campaignlens.sources.files import feature_list_document, write_csv, write_document, write_profiles
-from campaignlens.sources.store import durable, save_pipeline
+from campaignlens.sources.store import durable
 
 
 @dataclass
@@ -80,7 +79,7 @@ def run_analysis(
     limits = best.first()
 
     study = None
-    if with_imbalance and winner not in ("Naive Bayes", "K-Nearest Neighbors"):
+    if with_imbalance:
         study = durable(imbalance_study(candidates[winner], train, test, k, parallelism))
     briers = calibrate(candidates[winner], train, test)
 
@@ -91,11 +90,12 @@ def run_analysis(
         scored = part if scored is None else scored.unionByName(part)
     scored = durable(scored)
     deployed = scored.where(F.col("model") == winner)
-    deployed_name = winner
+    deployed_name, deployed_model = winner, fitted[winner]
     if briers["validation_improved"]:
         slope, intercept = calibration.fit_sigmoid(fitted[winner].score(train.drop("split", "fold")).select("id", F.col(TARGET).alias("y"), "p"))
         deployed = deployed.withColumn("p", calibration.sigmoid(F.col("p"), slope, intercept))
         deployed_name = f"{winner} (Calibrated)"
+        deployed_model = deployed_model.calibrated(slope, intercept)
 
     card = durable(selection.model_card(scored, board))
     policies = durable(thresholds.strategy_table(deployed, best, cost=cost, profit=profit))
@@ -118,7 +118,7 @@ def run_analysis(
         )
     return Analysis(
         winner, deployed_name, candidates, results, board, chosen, best, study, briers, card, policies, intervals,
-        segments, permutation, importances, odds, scored, document, fitted[winner],
+        segments, permutation, importances, odds, scored, document, deployed_model,
     )
 
 
@@ -133,5 +133,4 @@ def store_analysis(analysis: Analysis, location: str) -> None:
         write_document(analysis.document, f"{location}/metrics")
     write_document(feature_list_document(analysis.model_card.sparkSession), f"{location}/feature_list")
     analysis.test_scores.write.mode("overwrite").partitionBy("model").parquet(f"{location}/test_scores")
-    if isinstance(analysis.deployed_model.pipeline, PipelineModel):
-        save_pipeline(analysis.deployed_model.pipeline, f"{location}/model")
+    analysis.deployed_model.save(f"{location}/model")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -19,6 +20,7 @@ from campaignlens.operators.classifiers import (
     grid,
     with_balanced_weights,
 )
+from campaignlens.operators.calibration import sigmoid
 from campaignlens.operators.curves import ranking_metrics
 from campaignlens.operators.naive_bayes import fit_gaussian_nb, score_gaussian_nb
 from campaignlens.operators.neighbours import nearest_neighbours, neighbour_vote
@@ -27,18 +29,10 @@ from campaignlens.operators.prep import fold_statistics, prep_statistics, transf
 from campaignlens.operators.selection import fold_summary
 from campaignlens.operators.thresholds import confusion, with_ratios
 from campaignlens.settings import TARGET, TRANSFORMED_FEATURES
-from campaignlens.sources.store import durable
-
-# Small default grids; GRIDS holds the full ones.
-QUICK_GRIDS: dict[str, dict[str, list]] = {
-    "Logistic Regression": {"C": [0.1, 1.0]},
-    "K-Nearest Neighbors": {"n_neighbors": [15, 21], "weights": ["distance"]},
-    "Decision Tree": {"max_depth": [3, 5], "min_samples_split": [2], "criterion": ["entropy"]},
-    "Random Forest": {"n_estimators": [20], "max_depth": [4, 6], "min_samples_split": [2]},
-    "Naive Bayes": {"var_smoothing": [1e-9]},
-    "Gradient Boosting": {"n_estimators": [10], "learning_rate": [0.1], "max_depth": [3]},
-}
+from campaignlens.sources.store import durable, durable_parts, load_pipeline, save_pipeline
 
+#: Models fitted as keyed tables instead of Spark ML stages.
+KEYED_MODELS = ("Naive Bayes", "K-Nearest Neighbors")
 
 def run_parallel(tasks: Sequence[Callable[[], object]], parallelism: int) -> list:
     """Run driver-side job launches side by side; every task starts its own Spark jobs."""
@@ -53,28 +47,40 @@ def run_parallel(tasks: Sequence[Callable[[], object]], parallelism: int) -> lis
 
 
 class FoldData:
-    """Training rows transformed once per fold and shared by every model and parameter set.
+    """Training rows stored once by fold, and the preprocessing statistics of every fold's fit.
 
-    ``fits`` holds, for each fold, the rows outside it in that fold's scale; ``held`` holds every
-    row once, in the scale of the fit that has not seen it. Both are stored, not recomputed per fit.
+    A fit reads the other folds' files and scales them on the way; nothing is stored once per fit.
     """
 
     def __init__(self, train: DataFrame, k: int = 5):
         self.k = k
-        others = F.filter(F.array(*[F.lit(f) for f in range(k)]), lambda f: f != F.col("fold"))
-        repeated = train.withColumn("fit", F.explode(others))
-        statistics = durable(fold_statistics(train, range(k)))
+        self.statistics = durable(fold_statistics(train, range(k)))
+        self.rows = durable(train, ["fold"])
+        counts = {r["fold"]: r["count"] for r in self.rows.groupBy("fold").count().collect()}  # k rows
+        self.sizes = {f: float(sum(n for g, n in counts.items() if g != f)) for f in range(k)}
+
+    def _shaped(self, rows: DataFrame) -> DataFrame:
         packed = array_to_vector(F.array(*[F.col(f"`{c}`") for c in TRANSFORMED_FEATURES]))
         carry = ["fold", TARGET, "age_group"]
-        shaped = lambda rows: transformed(rows, statistics, ["fit"], carry).withColumn("features", packed)
-        self.fits = durable(shaped(repeated).withColumn(LABEL, F.col(TARGET).cast("double")))
-        self.held = durable(shaped(train.withColumn("fit", F.col("fold"))))
+        shaped = transformed(rows, self.statistics, ["fit"], carry).withColumn("features", packed)
+        return shaped.withColumn(LABEL, F.col(TARGET).cast("double"))
+
+    @property
+    def fits(self) -> DataFrame:
+        """Every row under every fit that learns from it, for models fitted as one keyed job."""
+        others = F.filter(F.array(*[F.lit(f) for f in range(self.k)]), lambda f: f != F.col("fold"))
+        return self._shaped(self.rows.withColumn("fit", F.explode(others)))
+
+    @property
+    def held(self) -> DataFrame:
+        """Every row once, in the scale of the fit that has not seen it."""
+        return self._shaped(self.rows.withColumn("fit", F.col("fold")))
 
     def train(self, fold: int) -> DataFrame:
-        return self.fits.where(F.col("fit") == fold)
+        return self._shaped(self.rows.where(F.col("fold") != fold).withColumn("fit", F.lit(fold)))
 
     def rest(self, fold: int) -> DataFrame:
-        return self.held.where(F.col("fold") == fold)
+        return self._shaped(self.rows.where(F.col("fold") == fold).withColumn("fit", F.col("fold")))
 
 
 def _name(parameters: Mapping[str, object]) -> str:
@@ -94,9 +100,7 @@ def _tag(rows: DataFrame, candidate: Candidate, position: int) -> DataFrame:
 
 
 def _ml_fold_scores(data: FoldData, candidate: Candidate, position: int, fold: int) -> DataFrame:
-    train = data.train(fold)
-    total = float(train.count()) if candidate.model == "Logistic Regression" else 0.0
-    model = candidate.classifier(total).fit(train)
+    model = candidate.classifier(data.sizes[fold]).fit(data.train(fold))
     scored = model.transform(data.rest(fold)).withColumn("p", vector_to_array("probability")[1])
     return _tag(scored, candidate, position)
 
@@ -105,15 +109,14 @@ def candidate_scores(
     data: FoldData, models: Sequence[str], grids: Mapping[str, Mapping[str, list]], parallelism: int = 2
 ) -> DataFrame:
     """Out-of-fold scores of every parameter set of every model: ``(model, position, parameters, fold, id, y, p)``."""
-    parts: list[DataFrame] = []
-    tasks: list[Callable[[], object]] = []
+    parts: list[Callable[[], DataFrame]] = []
     labels = data.held.select("fold", "id", TARGET)
     for model in models:
         candidates = [Candidate(model, p) for p in grid(model, grids.get(model))]
         if model == "Naive Bayes":
             for i, c in enumerate(candidates):
                 fitted = fit_gaussian_nb(data.fits, ["fit"], c.parameters["var_smoothing"])
-                parts.append(_tag(score_gaussian_nb(data.held, fitted, ["fit"]), c, i))
+                parts.append(lambda c=c, i=i, fitted=fitted: _tag(score_gaussian_nb(data.held, fitted, ["fit"]), c, i))
         elif model == "K-Nearest Neighbors":
             # One neighbour search serves the whole grid.
             most = max(c.parameters["n_neighbors"] for c in candidates)
@@ -122,20 +125,16 @@ def candidate_scores(
             )
             for i, c in enumerate(candidates):
                 votes = neighbour_vote(near, c.parameters["n_neighbors"], c.parameters["weights"], ["fit"])
-                parts.append(_tag(votes.drop("fit").join(labels, "id"), c, i))
+                parts.append(lambda c=c, i=i, votes=votes: _tag(votes.drop("fit").join(labels, "id"), c, i))
         else:
             for i, c in enumerate(candidates):
                 for fold in range(data.k):
-                    tasks.append(lambda c=c, i=i, fold=fold: _ml_fold_scores(data, c, i, fold))
-    parts += run_parallel(tasks, parallelism)
-    everything = parts[0]
-    for part in parts[1:]:
-        everything = everything.unionByName(part)
-    return durable(everything)
+                    parts.append(lambda c=c, i=i, fold=fold: _ml_fold_scores(data, c, i, fold))
+    return durable_parts(parts, lambda tasks: run_parallel(tasks, parallelism))
 
 
-def grid_results(scores: DataFrame, digits: int | None = 4) -> DataFrame:
-    """Mean and deviation of the fold scores per parameter set, one job for all of them."""
+def grid_results(scores: DataFrame, digits: int | None = None) -> DataFrame:
+    """Mean and deviation of the fold scores per parameter set, one job for all of them; exact scores unless rounded."""
     by = ["model", "position", "parameters"]
     return fold_summary(ranking_metrics(scores, [*by, "fold"], digits), by)
 
@@ -157,9 +156,10 @@ def tune(
 ) -> tuple[dict[str, Candidate], DataFrame, DataFrame]:
     """Best candidate per model, its out-of-fold scores, and all grid results.
 
-    Uses training rows only; there is no argument through which test rows could enter.
+    Searches the published grids unless others are given. Uses training rows only; there is no argument through
+    which test rows could enter.
     """
-    grids = QUICK_GRIDS if grids is None else grids
+    grids = GRIDS if grids is None else grids
     scores = candidate_scores(FoldData(train, k), models, grids, parallelism)
     results = durable(grid_results(scores))
     best = best_candidates(results)
@@ -174,49 +174,97 @@ def tune(
 class FittedModel:
     """Any of the six models behind one method: append ``p`` to rows with the raw features."""
 
-    def __init__(self, candidate: Candidate, train: DataFrame, weighted: bool = False):
+    def __init__(self, candidate: Candidate, train: DataFrame | None, weighted: bool = False):
         self.candidate = candidate
         self.pipeline: PipelineModel | None = None
-        if candidate.model in ("Naive Bayes", "K-Nearest Neighbors"):
-            self._statistics = durable(prep_statistics(train))
-            self._rows = durable(transformed(train, self._statistics, carry=[TARGET]))
+        self.calibration: tuple[float, float] | None = None
+        self._tables: dict[str, DataFrame] = {}
+        if train is None:
+            return
+        if candidate.model in KEYED_MODELS:
+            self._tables["statistics"] = durable(prep_statistics(train))
+            rows = durable(transformed(train, self._tables["statistics"], carry=[TARGET]))
             if candidate.model == "Naive Bayes":
-                self._parameters = durable(fit_gaussian_nb(self._rows, smoothing=candidate.parameters["var_smoothing"]))
+                self._tables["parameters"] = durable(fit_gaussian_nb(rows, smoothing=candidate.parameters["var_smoothing"]))
+            else:
+                self._tables["rows"] = rows
         else:
             self.pipeline = fit_pipeline(candidate, train, weighted)
 
+    def calibrated(self, slope: float, intercept: float) -> "FittedModel":
+        """The same model with its scores passed through a sigmoid."""
+        model = FittedModel(self.candidate, None)
+        model.pipeline, model._tables, model.calibration = self.pipeline, self._tables, (slope, intercept)
+        return model
+
     def score(self, rows: DataFrame) -> DataFrame:
         """Rows with ``p`` added; ``id`` must be unique."""
         if self.pipeline is not None:
-            return self.pipeline.transform(rows).select(*rows.columns, vector_to_array("probability")[1].alias("p"))
-        x = transformed(rows, self._statistics)
-        if self.candidate.model == "Naive Bayes":
-            found = score_gaussian_nb(x, self._parameters).select("id", "p")
+            scored = self.pipeline.transform(rows).select(*rows.columns, vector_to_array("probability")[1].alias("p"))
         else:
+            x = transformed(rows, self._tables["statistics"])
             p = self.candidate.parameters
-            near = nearest_neighbours(x, self._rows.withColumn("y", F.col(TARGET)), p["n_neighbors"])
-            found = neighbour_vote(near, p["n_neighbors"], p["weights"])
-        return rows.join(found, "id")
+            if self.candidate.model == "Naive Bayes":
+                found = score_gaussian_nb(x, self._tables["parameters"]).select("id", "p")
+            else:
+                near = nearest_neighbours(x, self._tables["rows"].withColumn("y", F.col(TARGET)), p["n_neighbors"])
+                found = neighbour_vote(near, p["n_neighbors"], p["weights"])
+            scored = rows.join(found, "id")
+        if self.calibration is not None:
+            scored = scored.withColumn("p", sigmoid(F.col("p"), *self.calibration))
+        return scored
+
+    def save(self, location: str) -> None:
+        """Everything that ``load`` needs, whatever the model: fitted stages or tables, parameters, calibration."""
+        spark = SparkSession.active()
+        document = {"model": self.candidate.model, "parameters": dict(self.candidate.parameters), "calibration": self.calibration}
+        stored = spark.createDataFrame([(json.dumps(document),)], "document string")
+        stored.coalesce(1).write.mode("overwrite").text(f"{location}/candidate")
+        if self.pipeline is not None:
+            save_pipeline(self.pipeline, f"{location}/pipeline")
+        for name, table in self._tables.items():
+            table.write.mode("overwrite").parquet(f"{location}/{name}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, location: str) -> "FittedModel":
+        document = json.loads(spark.read.text(f"{location}/candidate").first()[0])
+        model = cls(Candidate(document["model"], document["parameters"]), None)
+        model.calibration = tuple(document["calibration"]) if document["calibration"] else None
+        if document["model"] in KEYED_MODELS:
+            names = ("statistics", "parameters" if document["model"] == "Naive Bayes" else "rows")
+            model._tables = {n: spark.read.parquet(f"{location}/{n}") for n in names}
+        else:
+            model.pipeline = load_pipeline(f"{location}/pipeline")
+        return model
 
 
 # --- class imbalance ---------------------------------------------------------------------------
 
+# The published names of the treatments.
 UNTREATED = "None (Unweighted Baseline)"
 BALANCED = "class_weight='balanced'"
 UNSUPPORTED = "class_weight='balanced' (Not supported for estimator)"
 OVERSAMPLED = "SMOTENC (Categorical-aware Oversampling)"
 
 
-def _fit_treated(candidate: Candidate, rows: DataFrame, treatment: str):
-    """Fit on transformed training rows ``(id, age_group, features, target…)`` after one treatment."""
+def _scored_treated(candidate: Candidate, rows: DataFrame, score_on: DataFrame, treatment: str) -> DataFrame:
+    """``(id, target, p)`` of ``score_on`` after a fit on transformed training rows under one treatment."""
+    packed = array_to_vector(F.array(*[F.col(f"`{c}`") for c in TRANSFORMED_FEATURES]))
     if treatment == OVERSAMPLED:
-        grown = encode_group(oversample(rows))
-        packed = array_to_vector(F.array(*[F.col(f"`{c}`") for c in TRANSFORMED_FEATURES]))
-        rows = durable(grown.select("id", packed.alias("features"), F.col(TARGET).cast("double").alias(LABEL), TARGET))
+        grown = encode_group(oversample(rows)).withColumns({"features": packed, LABEL: F.col(TARGET).cast("double")})
+        rows = durable(grown.select("id", *[F.col(f"`{c}`") for c in TRANSFORMED_FEATURES], "features", LABEL, TARGET))
     elif treatment == BALANCED:
         rows = with_balanced_weights(rows)
+    p = candidate.parameters
+    if candidate.model == "Naive Bayes":
+        found = score_gaussian_nb(score_on, fit_gaussian_nb(rows, smoothing=p["var_smoothing"]))
+        return found.select("id", TARGET, "p")
+    if candidate.model == "K-Nearest Neighbors":
+        near = nearest_neighbours(score_on, rows.withColumn("y", F.col(TARGET)), p["n_neighbors"])
+        return neighbour_vote(near, p["n_neighbors"], p["weights"]).join(score_on.select("id", TARGET), "id").select("id", TARGET, "p")
     total = float(rows.count()) if candidate.model == "Logistic Regression" else 0.0
-    return candidate.classifier(total, weighted=treatment == BALANCED).fit(rows)
+    model = candidate.classifier(total, weighted=treatment == BALANCED).fit(rows)
+    return model.transform(score_on).select("id", TARGET, vector_to_array("probability")[1].alias("p"))
 
 
 def imbalance_study(candidate: Candidate, train: DataFrame, test: DataFrame, k: int = 5, parallelism: int = 2) -> DataFrame:
@@ -238,18 +286,12 @@ def imbalance_study(candidate: Candidate, train: DataFrame, test: DataFrame, k:
 
     def scored(treatment: str, fold: int) -> DataFrame:
         fit_on, score_on = (data.train(fold), data.rest(fold)) if fold >= 0 else (whole, held_out)
-        model = _fit_treated(candidate, fit_on, treatment)
-        return model.transform(score_on).select(
-            F.lit(treatment).alias("model"), F.lit(fold).alias("fold"), "id", F.col(TARGET).alias("y"),
-            vector_to_array("probability")[1].alias("p"),
+        return _scored_treated(candidate, fit_on, score_on, treatment).select(
+            F.lit(treatment).alias("model"), F.lit(fold).alias("fold"), "id", F.col(TARGET).alias("y"), "p"
         )
 
-    tasks = [lambda t=t, f=f: scored(t, f) for t in treatments for f in [-1, *range(k)]]
-    parts = run_parallel(tasks, parallelism)
-    everything = parts[0]
-    for part in parts[1:]:
-        everything = everything.unionByName(part)
-    everything = durable(everything)
+    parts = [lambda t=t, f=f: scored(t, f) for t in treatments for f in [-1, *range(k)]]
+    everything = durable_parts(parts, lambda tasks: run_parallel(tasks, parallelism))
     cv = fold_summary(ranking_metrics(everything.where("fold >= 0"), ["model", "fold"]))
     tested = everything.where("fold = -1")
     final = ranking_metrics(tested).withColumnsRenamed({"roc_auc": "test_roc_auc", "pr_auc": "test_pr_auc"})

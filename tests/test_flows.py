@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from campaignlens.functions import decisions, text
 from campaignlens.operators import checks, reporting, scoring
 from campaignlens.operators.scorecard import scorecard
-from campaignlens.plans import demo, training
+from campaignlens.plans import demo, training, tuning
 from campaignlens.settings import FEATURES
 from campaignlens.sources import files, store
 from campaignlens.streaming import scoring as stream
@@ -192,9 +192,12 @@ def test_full_analysis(spark, tmp_path):
     assert document["selected"] == found.selected and len(document["business_simulation"]) == 4
     assert document["economic_parameters"]["break_even_probability"] == 0.1
     store.require_artefacts(spark, [str(tmp_path / "run" / n) for n in ("results_comparison", "business_simulation", "customer_profiles", "feature_list")])
-    if found.deployed_model.pipeline is not None:
-        loaded = store.load_pipeline(str(tmp_path / "run" / "model"))
-        batch = scoring.score_batch(scoring.model_probability(loaded), files.upload_template(spark), 0.2)
+    again = tuning.FittedModel.load(spark, str(tmp_path / "run" / "model"))
+    rows = features.limit(50)
+    expected = found.deployed_model.score(rows).select("id", F.bround("p", 10))
+    assert rows_of(again.score(rows).select("id", F.bround("p", 10)), "id") == rows_of(expected, "id")
+    if again.pipeline is not None:
+        batch = scoring.score_batch(scoring.model_probability(again.pipeline), files.upload_template(spark), 0.2)
         assert batch.count() == 3
 
 
