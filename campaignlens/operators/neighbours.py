@@ -1,15 +1,17 @@
 """Exact k-nearest-neighbour join without all-pairs work, and the classifier built on it.
 
-Training rows are cut into *units* around a fixed number of pivots: nearest pivot, then distance
-ring. By the triangle inequality the unit's distances to its pivot bound the distance of any
+Equal points are collapsed first, on both sides: copies never meet each other. The distinct training points are cut into
+*units* around pivots: nearest pivot, then distance ring. The number of pivots follows the square root of the number
+of points, at every size alike. By the triangle inequality the unit's distances to its pivot bound the distance of any
 query to its rows. Every query first visits the few units needed to collect k neighbours, and
 then only those further units that could still hold a closer row. Crowded units are split into
-blocks on both sides, so one unit with a third of all rows still becomes many small tasks.
+blocks on both sides, so one crowded unit still becomes many small tasks.
 Pivots and units only steer the work; the result does not depend on them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -20,12 +22,13 @@ from campaignlens.operators.sampling import hash_sample
 from campaignlens.settings import TRANSFORMED_FEATURES
 from campaignlens.sources.store import durable
 
-MAX_PIVOTS = 512
+FEWEST_PIVOTS = 4
 RINGS = 64
 BLOCK_ROWS = 20_000
 DISTANCE_DIGITS = 9
 SLACK = 1e-6
 QUERY_SLICE = 256
+SALTS = 64
 
 
 def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -44,9 +47,9 @@ def _field_list(rows: DataFrame, names: Sequence[str]) -> str:
     return ", ".join(f"`{n}` {kinds[n]}" for n in names)
 
 
-def _in_units(rows: DataFrame, keep: Sequence[str], pivots: np.ndarray, columns: Sequence[str]) -> DataFrame:
-    """Rows with coordinates as one array and their unit ``(cell, ring)``."""
-    packed = rows.select(*keep, F.array(*[F.col(f"`{c}`").cast("double") for c in columns]).alias("x"))
+def _in_units(rows: DataFrame, keep: Sequence[str], pivots: np.ndarray) -> DataFrame:
+    """Rows with coordinates ``x`` and their unit ``(cell, ring)``."""
+    packed = rows.select(*keep, "x")
 
     def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -61,8 +64,8 @@ def _in_units(rows: DataFrame, keep: Sequence[str], pivots: np.ndarray, columns:
 
 
 def _unit_bounds(distance: np.ndarray, units: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bound of the distance to any row of each unit."""
-    d = distance[units["cell"].to_numpy()]
+    """Lower and upper bound of the distance of each query to any row of each unit."""
+    d = distance[:, units["cell"].to_numpy()]
     low, high = units["low"].to_numpy(), units["high"].to_numpy()
     return np.maximum(0.0, np.maximum(d - high, low - d)), d + high
 
@@ -82,24 +85,27 @@ def _route(queries: DataFrame, keys: Sequence[str], pivots: np.ndarray, units: p
             if not len(batch):
                 continue
             distance = _distances(np.vstack(batch["x"].to_numpy()), pivots)
-            tags = list(batch[keys].itertuples(index=False, name=None)) if keys else [()] * len(batch)
             limits = None if first else batch["limit"].to_numpy()
+            places = batch.groupby(keys, sort=False).indices if keys else {(): np.arange(len(batch))}
             picked, cells, rings = [], [], []
-            for i, tag in enumerate(tags):
-                part = by_key.get(tuple(tag))
+            for tag, rows in places.items():
+                part = by_key.get(tag if isinstance(tag, tuple) else (tag,))
                 if part is None:
                     continue
-                low, high = _unit_bounds(distance[i], part)
-                order = np.argsort(high, kind="stable")
-                enough = int(np.searchsorted(np.cumsum(part["n"].to_numpy()[order]), k)) + 1
-                chosen = np.zeros(len(part), dtype=bool)
-                chosen[order[:enough]] = True
-                if not first:
-                    chosen = ~chosen & (low <= limits[i] + SLACK)
-                hit = np.flatnonzero(chosen)
-                picked.append(np.full(len(hit), i))
-                cells.append(part["cell"].to_numpy()[hit])
-                rings.append(part["ring"].to_numpy()[hit])
+                counts = part["n"].to_numpy()
+                for start in range(0, len(rows), QUERY_SLICE):
+                    some = rows[start : start + QUERY_SLICE]
+                    low, high = _unit_bounds(distance[some], part)
+                    order = np.argsort(high, axis=1, kind="stable")
+                    short = (np.cumsum(counts[order], axis=1) < k).sum(axis=1)
+                    last = order[np.arange(len(some)), np.minimum(short, len(part) - 1)]
+                    chosen = high <= high[np.arange(len(some)), last][:, None]
+                    if not first:
+                        chosen = ~chosen & (low <= limits[some][:, None] + SLACK)
+                    query, unit = np.nonzero(chosen)
+                    picked.append(some[query])
+                    cells.append(part["cell"].to_numpy()[unit])
+                    rings.append(part["ring"].to_numpy()[unit])
             if picked:
                 out = batch.iloc[np.concatenate(picked)][names].reset_index(drop=True)
                 yield out.assign(cell=np.concatenate(cells).astype("int32"), ring=np.concatenate(rings).astype("int32"))
@@ -111,7 +117,7 @@ def _search(routed: DataFrame, train: DataFrame, keys: Sequence[str], k: int, bl
     """The k closest training rows of each query within each visited block."""
     keys = list(keys)
     unit = [*keys, "cell", "ring"]
-    # One row per unit (pivots x rings x keys at most): how many pieces each side is cut into.
+    # One row per unit: how many pieces each side is cut into. Small tables are broadcast by the engine itself.
     pieces = (
         train.groupBy(*unit).agg(F.count(F.lit(1)).alias("rows"))
         .join(routed.groupBy(*unit).agg(F.count(F.lit(1)).alias("visits")), unit)
@@ -125,12 +131,12 @@ def _search(routed: DataFrame, train: DataFrame, keys: Sequence[str], k: int, bl
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     kinds = _field_list(train, keys)
     left = (
-        routed.join(F.broadcast(pieces), unit)
+        routed.join(pieces, unit)
         .withColumns({"chunk": part("qid", "chunks")})
         .select(*unit, "qid", F.col("x").alias("qx"), "chunk", every("salts").alias("salt"))
     )
     right = (
-        train.join(F.broadcast(pieces), unit)
+        train.join(pieces, unit)
         .withColumns({"salt": part("id", "salts")})
         .select(*unit, "id", "y", "x", "salt", every("chunks").alias("chunk"))
     )
@@ -143,7 +149,7 @@ def _search(routed: DataFrame, train: DataFrame, keys: Sequence[str], k: int, bl
         points, ids, labels = np.vstack(t["x"].to_numpy()), t["id"].to_numpy(), t["y"].to_numpy()
         targets, qids = np.vstack(q["qx"].to_numpy()), q["qid"].to_numpy()
         take = min(k, len(points))
-        frames = []
+        frames: list[tuple[np.ndarray, ...]] = []
         for start in range(0, len(targets), QUERY_SLICE):
             some = targets[start : start + QUERY_SLICE]
             d2 = np.zeros((len(some), len(points)))
@@ -151,18 +157,13 @@ def _search(routed: DataFrame, train: DataFrame, keys: Sequence[str], k: int, bl
                 d2 += (some[:, j, None] - points[None, :, j]) ** 2
             d2 = np.round(d2, DISTANCE_DIGITS)
             edge = np.partition(d2, take - 1, axis=1)[:, take - 1]
-            for i in range(len(some)):
-                near = np.flatnonzero(d2[i] <= edge[i])
-                near = near[np.lexsort((ids[near], d2[i][near]))][:take]
-                frames.append((qids[start + i], ids[near], labels[near], d2[i][near]))
-        out = pd.DataFrame(
-            {
-                "qid": np.repeat([f[0] for f in frames], [len(f[1]) for f in frames]),
-                "id": np.concatenate([f[1] for f in frames]),
-                "y": np.concatenate([f[2] for f in frames]),
-                "d2": np.concatenate([f[3] for f in frames]),
-            }
-        )
+            row, point = np.nonzero(d2 <= edge[:, None])
+            order = np.lexsort((ids[point], d2[row, point], row))
+            row, point = row[order], point[order]
+            place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(some)))[row]
+            row, point = row[place < take], point[place < take]
+            frames.append((qids[start + row], ids[point], labels[point], d2[row, point]))
+        out = pd.DataFrame({n: np.concatenate(c) for n, c in zip(("qid", "id", "y", "d2"), zip(*frames))})
         for name in keys:
             out[name] = q[name].iloc[0]
         return out[names]
@@ -190,39 +191,56 @@ def nearest_neighbours(
 
     ``queries`` needs ``(keys, id, columns)`` and ``train`` needs ``(keys, id, y, columns)``; only
     rows with equal keys are compared. Equal distances are ordered by id. With ``exclude_self``
-    a row is never its own neighbour. The number of pivots follows from the number of training
-    rows, about one per block; a training set of one block is searched as a whole.
+    a row is never its own neighbour.
     """
     keys = list(keys)
     wanted = k + 1 if exclude_self else k
-    if pivots is None:
-        pivots = min(MAX_PIVOTS, -(-train.count() // block))
     coordinates = F.array(*[F.col(f"`{c}`").cast("double") for c in columns]).alias("x")
     points = queries.select(*keys, F.col("id").alias("qid"), coordinates)
-    if pivots <= 1:
-        one_unit = {"cell": F.lit(0), "ring": F.lit(0)}
-        whole = train.select(*keys, "id", F.col("y").cast("int").alias("y"), coordinates).withColumns(one_unit)
-        return _finished(_search(points.withColumns(one_unit), whole, keys, wanted, block), keys, k, exclude_self)
-    # At most MAX_PIVOTS rows.
-    centres = hash_sample(train.select("id", *[F.col(f"`{c}`") for c in columns]), pivots, tag="pivot").collect()
-    matrix = np.array([[float(row[c]) for c in columns] for row in centres])
-
-    located = durable(_in_units(train.withColumn("y", F.col("y").cast("int")), [*keys, "id", "y"], matrix, columns))
-    # At most pivots x rings rows per key.
+    # One search per distinct query point; of equal training points only the first ids can be neighbours.
+    distinct = durable(points.groupBy(*keys, "x").agg(F.min("qid").alias("qid")))
+    rows = train.select(*keys, "id", F.col("y").cast("int").alias("y"), coordinates)
+    few = durable(_first_of_equal(rows, keys, wanted))
+    number = few.count()
+    if pivots is None:
+        pivots = max(FEWEST_PIVOTS, math.isqrt(number) // 4)
+    centres = hash_sample(few.select("id", "x"), max(1, min(pivots, number)), tag="pivot").collect()
+    matrix = np.array([row["x"] for row in centres], dtype=float).reshape(len(centres), len(columns))
+    if not len(centres):
+        return _closest_k(_search(_nowhere(distinct), _nowhere(few), keys, wanted, block), keys, k)
+
+    located = durable(_in_units(few, [*keys, "id", "y"], matrix))
+    # At most pivots x rings rows per key, and never more than training points.
     units = (
         located.groupBy(*keys, "cell", "ring")
         .agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("low"), F.max("reach").alias("high"))
         .orderBy(*keys, "cell", "ring")
         .toPandas()
     )
-    routed = durable(_route(points, keys, matrix, units, wanted, True))
+    routed = durable(_route(distinct, keys, matrix, units, wanted, True))
     first = durable(_closest_k(_search(routed, located, keys, wanted, block), keys, wanted))
     reach = first.groupBy(*keys, "qid").agg(
         F.when(F.count(F.lit(1)) >= wanted, F.sqrt(F.max("d2"))).otherwise(F.lit(float("inf"))).alias("limit")
     )
-    routed = durable(_route(points.join(reach, [*keys, "qid"]), keys, matrix, units, wanted, False))
+    routed = durable(_route(distinct.join(reach, [*keys, "qid"]), keys, matrix, units, wanted, False))
     second = _search(routed, located, keys, wanted, block)
-    return _finished(first.drop("rank").unionByName(second), keys, k, exclude_self)
+    found = _closest_k(first.drop("rank").unionByName(second), keys, wanted).withColumnRenamed("qid", "first_qid")
+    copies = points.join(distinct.withColumnRenamed("qid", "first_qid"), [*keys, "x"]).select(*keys, "qid", "first_qid")
+    everyone = copies.join(found.drop("rank"), [*keys, "first_qid"]).drop("first_qid")
+    return _finished(everyone, keys, k, exclude_self)
+
+
+def _first_of_equal(rows: DataFrame, keys: Sequence[str], wanted: int) -> DataFrame:
+    """Of equal points those with the smallest ids, chosen per salt first so that no point's copies meet in one task."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    for extra in (["_salt"], []):
+        order = Window.partitionBy(*keys, "x", *extra).orderBy("id")
+        salted = salted.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= wanted)
+    return salted.drop("_salt", "_place")
+
+
+def _nowhere(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"cell": F.lit(0), "ring": F.lit(0)})
 
 
 def _finished(found: DataFrame, keys: Sequence[str], k: int, exclude_self: bool) -> DataFrame:

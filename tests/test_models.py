@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from campaignlens.operators import classifiers, explain
 from campaignlens.operators.naive_bayes import fit_gaussian_nb, score_gaussian_nb
+from campaignlens.operators import neighbours
 from campaignlens.operators.neighbours import nearest_neighbours, neighbour_vote
 from campaignlens.operators.oversampling import category_penalty, oversample
 from campaignlens.operators.prep import CampaignPreprocessor, fold_statistics, prep_statistics, transformed
@@ -220,6 +221,23 @@ def test_neighbours_by_key_and_without_self(spark):
     assert all(r["id"] == want[r["qid"]][r["rank"] - 1][1] for r in rows)
 
 
+def test_copies_do_not_meet_each_other(spark):
+    """A third of all rows in one point: results stay exact, and no task sees more than the first copies."""
+    rng = np.random.default_rng(7)
+    rows = [(i, *(np.zeros(3) if i % 3 == 0 else rng.normal(size=3)).tolist(), i % 2) for i in range(900)]
+    both = spark.createDataFrame(rows, "id long, a double, b double, c double, y int")
+    got = nearest_neighbours(both, both, 4, ["a", "b", "c"], exclude_self=True).orderBy("qid", "rank").collect()
+    x = np.array([r[1:4] for r in rows])
+    expected = []
+    for i in range(900):
+        d2 = np.round(((x - x[i]) ** 2).sum(axis=1), 9)
+        order = [j for j in np.lexsort((np.arange(900), d2)) if j != i][:4]
+        expected += [(i, int(j)) for j in order]
+    assert [(r["qid"], r["id"]) for r in got] == expected
+    few = neighbours._first_of_equal(both.select("id", F.array("a", "b", "c").alias("x")), [], 5)
+    assert few.count() == 600 + 5
+
+
 def test_fewer_rows_than_neighbours(spark):
     train, _, _ = points(spark, 3, 4)
     assert nearest_neighbours(train, train, 9, ["a", "b", "c"], pivots=2).count() == 9
