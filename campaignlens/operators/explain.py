@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from campaignlens.functions.hashing import keyed_hash
+from campaignlens.operators.ranking import ranked_by_hash
 from campaignlens.operators.sampling import hash_sample, permuted_donors
 from campaignlens.operators.thresholds import DEFAULT_THRESHOLD, confusion, with_ratios
 from campaignlens.settings import FEATURES, SEED, TARGET, TRANSFORMED_FEATURES
@@ -99,26 +100,26 @@ def coalition_rows(rows: DataFrame, background: DataFrame, permutations: int, fe
     ranks = [F.struct(keyed_hash(row_key, q, F.lit(f), tag="shapley-order", seed=seed).alias("h"), F.lit(f).alias("f")) for f in features]
     tall = tall.withColumn("order", F.transform(F.array_sort(F.array(*ranks)), lambda s: s["f"]))
     size = background.count()
-    # A bounded background sample, numbered by its hash order.
-    numbered = background.select(*[F.col(f).alias(f"base_{f}") for f in features]).withColumn(
-        "slot", F.row_number().over(Window.orderBy(*[F.col(f"base_{f}") for f in features])) - 1
-    )
-    drawn = tall.withColumn("slot", F.pmod(keyed_hash(row_key, q, tag="shapley-base", seed=seed), F.lit(size)).cast("int"))
-    mixed = drawn.join(F.broadcast(numbered), "slot").withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
+    # The background is numbered by hash rank; every draw picks a number, so the join is on equality and even.
+    base = background.select("id", *[F.col(f).alias(f"base_{f}") for f in features])
+    numbered = ranked_by_hash(base, [], keyed_hash(F.col("id"), tag="shapley-background", seed=seed), "slot").drop("id")
+    draw = F.pmod(keyed_hash(row_key, q, tag="shapley-base", seed=seed), F.lit(size)) + 1
+    drawn = tall.withColumn("slot", draw.cast("bigint"))
+    mixed = drawn.join(numbered, "slot").withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
     own = {
         f: F.when(F.array_position("order", F.lit(f)) <= F.col("step"), F.col(f)).otherwise(F.col(f"base_{f}")) for f in features
     }
     return mixed.withColumns(own).select("id", "permutation", "step", "order", *features)
 
 
-def shapley_values(score: Scorer, rows: DataFrame, background: DataFrame, permutations: int = 20, features: Sequence[str] = FEATURES, sample: int = SHAPLEY_ROWS, background_size: int = 100, seed: int = SEED) -> DataFrame:
+def shapley_values(score: Scorer, rows: DataFrame, background: DataFrame, permutations: int = 20, features: Sequence[str] = FEATURES, sample: int = SHAPLEY_ROWS, background_size: int | None = None, seed: int = SEED) -> DataFrame:
     """``(id, feature, phi)`` by sampled feature orders, for any model, with a single scoring pass.
 
-    Attributions of a row add up to its score minus the mean score of its drawn background rows.
+    Rows are blended with rows drawn from the whole background unless ``background_size`` samples it first. Attributions of a row add up to its score minus the mean score of its drawn background rows.
     """
     features = list(features)
     chosen = hash_sample(rows, sample, tag="shapley", seed=seed)
-    base = hash_sample(background, background_size, tag="shapley-background", seed=seed)
+    base = background if background_size is None else hash_sample(background, background_size, tag="shapley-background", seed=seed)
     steps = len(features) + 1
     blends = coalition_rows(chosen, base, permutations, features, seed)
     keyed = blends.withColumnRenamed("id", "row").withColumnRenamed("order", "feature_order")

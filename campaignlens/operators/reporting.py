@@ -156,13 +156,20 @@ def metrics_document(
     leaderboard: DataFrame,
     strategies: DataFrame,
     intervals: DataFrame,
-    odds: DataFrame,
+    odds: DataFrame | None,
     brier_scores: dict[str, object],
     cost: float,
     profit: float,
     parameters: dict[str, object],
+    card: DataFrame | None = None,
+    deployed_name: str | None = None,
+    per_model: dict[str, dict[str, object]] | None = None,
 ) -> DataFrame:
-    """All published results as one nested row: structs, arrays of records and maps by name."""
+    """All published results as one nested row: structs, arrays of records and maps by name.
+
+    ``card`` adds the selected model's test figures, ``per_model`` every model's best parameters. Without
+    logistic regression the odds ratios are missing.
+    """
     def as_map(rows: DataFrame, key: str, value: Column) -> Column:
         entries = F.sort_array(F.collect_list(F.struct(F.col(key), value.alias("v"))))
         return rows.agg(F.map_from_entries(entries)).scalar()
@@ -180,13 +187,23 @@ def metrics_document(
         as_map(leaderboard, "model", F.struct(*board)).alias("cv_metrics"),
         strategies.agg(records).scalar().alias("business_simulation"),
         as_map(intervals, "metric", F.struct("ci_lower", "ci_upper", "std")).alias("bootstrap_confidence_intervals"),
-        as_map(odds, "feature", F.col("odds_ratio")).alias("logistic_regression_odds_ratios"),
+        (
+            F.lit(None).cast("map<string,double>") if odds is None else as_map(odds, "feature", F.col("odds_ratio"))
+        ).alias("logistic_regression_odds_ratios"),
     )
     economics = F.struct(
         F.lit(cost).alias("cost_per_contact"), F.lit(profit).alias("profit_per_responder"), F.lit(cost / profit).alias("break_even_probability")
     )
     scores = F.struct(*[F.lit(v).alias(k) for k, v in brier_scores.items()])
     names = F.create_map(*[cell for k, v in parameters.items() for cell in (F.lit(f"classifier__{k}"), F.lit(str(v)))])
+    if card is not None:
+        figures = [c for c in card.columns if c != "model"]
+        document = document.withColumn("test_metrics", F.element_at(as_map(card, "model", F.struct(*figures)), F.col("selected")))
+    named = F.create_map(*[x for m, p in (per_model or {}).items() for x in (F.lit(m), F.lit(", ".join(f"{k}={v}" for k, v in p.items())))])
+    document = document.withColumns({
+        "deployed_name": F.coalesce(F.lit(deployed_name), F.col("selected")), "default_threshold": F.lit(0.5),
+        "best_params_per_model": named.cast("map<string,string>"),
+    })
     return document.withColumns(
         {"economic_parameters": economics, "brier_scores": scores, "best_params": text.strip_step_prefix(names)}
     )

@@ -15,6 +15,8 @@ from campaignlens.settings import COST_PER_CONTACT, PROFIT_PER_RESPONDER, linear
 
 DEFAULT_THRESHOLD = 0.50
 
+SALTS = 16
+
 
 def confusion_columns(threshold: Column) -> list[Column]:
     """``tn, fp, fn, tp`` over scored rows."""
@@ -58,15 +60,18 @@ def confusion_at(
 ) -> DataFrame:
     """Confusion counts for every row of a threshold table ``(keys, threshold, carry…)``.
 
-    Scored rows are reduced to distinct scores before the join.
+    Scored rows are reduced to distinct scores before the join, and the scores of a key are spread over
+    salts, so one key's scores never meet in one task.
     """
     groups = scored.groupBy(*keys, "p").agg(
         count_where(F.col("y") == 1).alias("pos"), count_where(F.coalesce(F.col("y") != 1, F.lit(True))).alias("neg")
     )
+    groups = groups.withColumn("_salt", F.pmod(F.xxhash64("p"), F.lit(SALTS)).cast("int"))
+    salted = thresholds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     hit = F.col("p") >= F.col("threshold")
     zero = F.lit(0).cast("bigint")
     return (
-        groups.join(thresholds, list(keys))
+        groups.join(salted, [*keys, "_salt"])
         .groupBy(*keys, "threshold", *carry)
         .agg(
             F.sum(F.when(~hit, F.col("neg")).otherwise(zero)).alias("tn"),

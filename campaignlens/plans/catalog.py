@@ -680,7 +680,7 @@ def permutation_importance(spark, d):
 def shapley_sample(spark, d):
     rows = demo.assigned(spark, d)
     values = explain.shapley_values(
-        _score_card, rows.where("split = 'test'"), rows.where("split = 'train'"), permutations=10
+        _score_card, rows.where("split = 'test'"), rows.where("split = 'train'")
     )
     return explain.shapley_summary(values)
 

@@ -39,7 +39,7 @@ class Analysis:
     importances: DataFrame | None
     odds_ratios: DataFrame | None
     test_scores: DataFrame
-    document: DataFrame | None
+    document: DataFrame
     deployed_model: FittedModel
 
 
@@ -111,11 +111,10 @@ def run_analysis(
     permutation = durable(explain.permutation_importance(importance_model.score, test.drop("split")))
     importances = explain.tree_importances(fitted[tree].pipeline) if tree else None
     odds = explain.odds_ratios(fitted["Logistic Regression"].pipeline) if "Logistic Regression" in fitted else None
-    document = None
-    if odds is not None:
-        document = reporting.metrics_document(
-            chosen, best, board, policies, intervals, odds, briers, cost, profit, dict(candidates[winner].parameters)
-        )
+    document = reporting.metrics_document(
+        chosen, best, board, policies, intervals, odds, briers, cost, profit, dict(candidates[winner].parameters),
+        card, deployed_name, {m: dict(c.parameters) for m, c in candidates.items()},
+    )
     return Analysis(
         winner, deployed_name, candidates, results, board, chosen, best, study, briers, card, policies, intervals,
         segments, permutation, importances, odds, scored, document, deployed_model,
@@ -129,8 +128,7 @@ def store_analysis(analysis: Analysis, location: str) -> None:
     if analysis.imbalance is not None:
         write_csv(analysis.imbalance, f"{location}/imbalance_handling_comparison")
     write_profiles(analysis.profiles, f"{location}/customer_profiles")
-    if analysis.document is not None:
-        write_document(analysis.document, f"{location}/metrics")
+    write_document(analysis.document, f"{location}/metrics")
     write_document(feature_list_document(analysis.model_card.sparkSession), f"{location}/feature_list")
     analysis.test_scores.write.mode("overwrite").partitionBy("model").parquet(f"{location}/test_scores")
     analysis.deployed_model.save(f"{location}/model")

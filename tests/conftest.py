@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import shutil
+import tempfile
+
 import pytest
 from pyspark.sql import SparkSession
 
 
-def build_session(cores: int = 8) -> SparkSession:
+def build_session(cores: int = 8, shared: str | None = None) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("campaignlens-tests")
@@ -15,12 +18,16 @@ def build_session(cores: int = 8) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
+    if shared:
+        spark.conf.set("spark.checkpoint.dir", shared)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session()
+    shared = tempfile.mkdtemp(prefix="shared-")
+    session = build_session(shared=shared)
     yield session
     session.stop()
+    shutil.rmtree(shared, ignore_errors=True)
