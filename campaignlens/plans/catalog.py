@@ -223,9 +223,13 @@ _CAPTURE_RATE = (
 
 
 @query(f"""
-select model, metric, round_even(round_even(value, 11), 6) as reported, round_even(round_even(value, 11), 6) as recomputed, true as ok from (
- select m.model, unnest(['f1', 'fpr', 'capture_rate']) as metric, unnest([m.f1, m.fpr, c.rate])::double as value
- from test_metrics m join {_CAPTURE_RATE} c on c.model = m.model)""")
+select model, metric, {rounded(['reported', 'recomputed'])}, abs(reported - recomputed) < 1e-9 as ok from (
+ select m.model, unnest(['f1', 'fpr', 'capture_rate']) as metric, unnest([m.f1, m.fpr, c.rate])::double as reported,
+  unnest([r.f1, r.fpr, g.rate])::double as recomputed
+ from test_metrics m join {_CAPTURE_RATE} c on c.model = m.model
+ join (select model, 2.0 * sum(case when p >= 0.5 then y else 0 end) / (count(*) filter (p >= 0.5) + sum(y)) as f1,
+   (count(*) filter (p >= 0.5 and y = 0))::double / (count(*) - sum(y)) as fpr from tested group by model) r on r.model = m.model
+ join (select model, cum_pos / all_pos::double as rate from gains where position = greatest(1, floor(n * 0.2))) g on g.model = m.model)""")
 def metric_audit(spark, d):
     test = demo.test_scores(spark, d)
     reported = thresholds.with_ratios(thresholds.confusion(test)).join(curves.top_capture(test, digits=DIGITS), "model")
