@@ -193,14 +193,17 @@ def mixed_documents(docs: DataFrame, workspace: Workspace | None = None, **optio
     """The mix as documents: whole texts once per pass, and the words of the partial pass.
 
     Rows of equal id, source and size are matched with their takes by a number that salted
-    counts give them, so no group is ordered in one task. ``n_chars`` is recounted.
+    counts give them, so no group is ordered in one task; texts move once, after that. ``n_chars`` is recounted.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     taken = mix(docs, workspace=workspace, **options).filter("taken > 0")
     record = F.struct(*[docs[c] for c in docs.columns]).alias("record")  # other columns' names can't clash in it
-    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(256)).alias("salt")
-    held = docs.select("doc_id", "source", "text", record, word_count(F.col("text")).alias("size"), salt)
-    held = workspace.table(held, "salted")
+    number = F.monotonically_increasing_id()
+    held = docs.select(
+        "doc_id", "source", word_count(F.col("text")).alias("size"), number.alias("row_number"),
+        F.pmod(F.xxhash64(number), F.lit(256)).alias("salt"), F.xxhash64("text").alias("text_hash"), record,
+    )
+    held = workspace.table(held, "records")
     key = ["doc_id", "source", "size"]
     salts = held.groupBy(*key, "salt").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(*key).orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -208,13 +211,16 @@ def mixed_documents(docs: DataFrame, workspace: Workspace | None = None, **optio
     same = F.col("salt") == F.col("s_salt")
     for c in key:
         same = same & F.col(c).eqNullSafe(F.col(f"s_{c}"))
-    number = F.row_number().over(Window.partitionBy(*key, "salt").orderBy(F.xxhash64("text")))
-    numbered = held.withColumn("number", number).join(salts, same).withColumn("copy", F.col("first") + F.col("number") - 1)
+    place = F.row_number().over(Window.partitionBy(*key, "salt").orderBy("text_hash", "row_number"))
+    slim = held.select(*key, "salt", "row_number", "text_hash").withColumn("place", place)
+    numbered = slim.join(salts, same).withColumn("copy", F.col("first") + F.col("place") - 1)
     takes = taken.select(*[F.col(c).alias(f"t_{c}") for c in (*key, "copy")], "passes", "cut_1", "cut_2")
     match = F.col("copy") == F.col("t_copy")
     for c in key:
         match = match & F.col(c).eqNullSafe(F.col(f"t_{c}"))
-    joined = numbered.join(takes, match)
+    chosen = numbered.join(takes, match).select("row_number", "passes", "cut_1", "cut_2")
+    # only here texts move
+    joined = held.select("row_number", "size", "record").join(chosen, "row_number").withColumn("text", F.col("record.text"))
     words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
     pieces = [F.slice("words", (F.col(f"{c}.from") + 1).cast("int"), (F.col(f"{c}.to") - F.col(f"{c}.from")).cast("int")) for c in ("cut_2", "cut_1")]
     cut_words = (F.col("cut_1.to") - F.col("cut_1.from")) + (F.col("cut_2.to") - F.col("cut_2.from"))

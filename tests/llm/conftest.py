@@ -6,12 +6,6 @@ from pyspark.sql import functions as F
 CLASHES = ("size", "bucket", "record", "fp", "candidates", "spans", "score", "copy", "words", "salt", "ids", "row")
 
 
-@pytest.fixture(scope="session", autouse=True)
-def shared_folder(spark, tmp_path_factory):
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-
-
 ROWS = [
     (1, "The quick brown fox jumps over the lazy dog and runs away from it at once", "en", "a"),
     (1, "The quick brown fox jumps over the lazy dog and runs away from it at once", "en", "a"),
