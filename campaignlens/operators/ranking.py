@@ -75,12 +75,24 @@ def running_sums(
         for name in keys + names:
             rows = rows.where(F.col(name).isNotNull())
     few = F.broadcast if keep is not None else (lambda part: part)
+
+    def added_up(source: DataFrame, depth: int) -> DataFrame:
+        return source.groupBy(*keys, *names[:depth]).agg(*[F.sum(column).alias(column) for column in sums.values()])
+
     totals: dict[int, DataFrame] = {}
+    if keep is not None and len(levels) > 1:
+        # Coarse to fine: a histogram of the first level, combined where the rows are, tells which of its
+        # buckets matter; only their rows are grouped by the finer levels.
+        totals[1] = added_up(rows, 1)
+        coarse = Window.partitionBy(*keys)
+        upto = F.sum(sums[keep_on]).over(coarse.orderBy(levels[0].order()).rowsBetween(Window.unboundedPreceding, 0))
+        wanted = totals[1].select(
+            *keys, names[0], upto.alias("_upto"), F.col(sums[keep_on]).alias("_size"), F.sum(sums[keep_on]).over(coarse).alias("_whole")
+        ).where(keep(F.col("_upto") - F.col("_size"), F.col("_upto"), F.col("_whole")))
+        rows = rows.join(F.broadcast(wanted.select(*keys, names[0])), [*keys, names[0]], "left_semi")
     level_rows = rows
-    for depth in range(len(levels), 0, -1):
-        level_rows = level_rows.groupBy(*keys, *names[:depth]).agg(
-            *[F.sum(column).alias(column) for column in sums.values()]
-        )
+    for depth in range(len(levels), len(totals), -1):
+        level_rows = added_up(level_rows, depth)
         totals[depth] = level_rows
 
     offsets: DataFrame | None = None

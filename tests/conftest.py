@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(cores: int = 8, shared: str | None = None) -> SparkSession:
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("campaignlens-tests")
         .config("spark.sql.shuffle.partitions", "8")
@@ -16,10 +16,10 @@ def build_session(cores: int = 8, shared: str | None = None) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
     if shared:
-        spark.conf.set("spark.checkpoint.dir", shared)
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
