@@ -19,7 +19,6 @@ texts in one pass without a shuffle.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +40,7 @@ TRIGRAM_BUCKETS = 4096
 _BATCH = 128
 _WINDOWS_AT_ONCE = 1024
 _CACHED_WORDS = 300_000
+_WORDS_AT_ONCE = 20_000
 _EDGES = b".,!?;:|\"'()[]{}#*$%&<>-"
 
 
@@ -84,10 +84,13 @@ class Network:
         return np.concatenate([p["words"][number], sums / counts], axis=1, dtype=np.float32)
 
     def projected(self, words: list[bytes]) -> np.ndarray:
-        """Input part of all gates of both directions."""
+        """Input part of all gates of both directions, computed slice by slice."""
         p = self.parameters
-        x = self.inputs(words)
-        return np.concatenate([x @ p["fx"] + p["fb"], x @ p["bx"] + p["bb"]], axis=1)
+        out = np.empty((len(words), 6 * HIDDEN), np.float32)
+        for at in range(0, len(words), _WORDS_AT_ONCE):
+            x = self.inputs(words[at : at + _WORDS_AT_ONCE])
+            out[at : at + _WORDS_AT_ONCE] = np.concatenate([x @ p["fx"] + p["fb"], x @ p["bx"] + p["bb"]], axis=1)
+        return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -217,57 +220,71 @@ def _initial(vocabulary: dict[bytes, int], rng: np.random.Generator) -> dict[str
     return made | {k: np.zeros(n, np.float32) for k, n in zeros.items()}
 
 
+def _evidence(names: list[bytes], distinct: list[np.ndarray], labels: list[int]) -> np.ndarray:
+    """Per word the strongest evidence of its affixes: how far the toxic texts that hold an affix exceed the share
+    of toxic texts, in standard deviations. ``distinct`` has the word numbers of each text."""
+    import xxhash
+
+    each = len(_affixes(b""))
+    made = (xxhash.xxh64_intdigest(a) for w in names for a in _affixes(w))
+    hashes = np.fromiter(made, np.uint64, each * len(names)).reshape(-1, each)
+    kinds, affixes = np.unique(hashes, return_inverse=True)
+    affixes = affixes.reshape(hashes.shape).astype(np.int32)
+    held, toxic = np.zeros(len(kinds)), np.zeros(len(kinds))
+    for words, y in zip(distinct, labels, strict=True):
+        found = np.unique(affixes[words])
+        held[found] += 1
+        toxic[found] += y
+    share = sum(labels) / len(labels)
+    return ((toxic - held * share) / np.sqrt(held * share * (1 - share) + 1))[affixes].max(axis=1)
+
+
 def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int = SEED) -> Network | None:
-    """Trains on whole labelled texts; none if a class is missing. Same sample, same network."""
+    """Trains on whole labelled texts; none if a class is missing. Same sample, same network.
+
+    Texts are held as numbers of their words; memory follows the sample's bytes and distinct words.
+    """
     if len(set(labels)) < 2:
         return None
     rng = np.random.default_rng(seed)
-    split = [_normal(t.lower().split()) for t in texts]
-    found = Counter(w for ws in split for w in set(ws))
-    signs = [{a for w in set(ws) for a in _affixes(w)} for ws in split]
-    held = Counter(a for found_here in signs for a in found_here)
-    toxic = Counter(a for found_here, y in zip(signs, labels, strict=True) if y for a in found_here)
-    common = sorted((w for w, n in found.items() if n >= 3), key=lambda w: (-found[w], w))[:VOCABULARY]
-    network = Network({w: i for i, w in enumerate(common, start=1)}, {})
+    number: dict[bytes, int] = {}
+    split = [np.array([number.setdefault(w, len(number)) for w in _normal(t.lower().split())], np.int32) for t in texts]
+    names = list(number)
+    del number
+    distinct = [np.unique(ws) for ws in split]
+    found = np.bincount(np.concatenate(distinct), minlength=len(names)) if names else np.zeros(0, np.int64)
+    common = sorted(np.flatnonzero(found >= 3).tolist(), key=lambda i: (-found[i], names[i]))[:VOCABULARY]
+    network = Network({names[i]: n for n, i in enumerate(common, start=1)}, {})
     p = network.parameters = _initial(network.vocabulary, rng)
-    share = sum(labels) / len(labels)
-    # evidence of a word or affix: how far its toxic texts exceed the share of toxic texts, in standard deviations
-    evidence = {a: (toxic[a] - n * share) / (n * share * (1 - share) + 1) ** 0.5 for a, n in held.items()}
-    by_word = {w: max(evidence[a] for a in _affixes(w)) for w in found}
-    windows = [[ws[i : i + WINDOW] for i in range(0, max(1, len(ws) - WINDOW + STRIDE), STRIDE)] for ws in split if ws]
-    of = [y for ws, y in zip(split, labels, strict=True) if ws]
+    evidence = _evidence(names, distinct, labels) if names else np.zeros(0)
+    lengths = np.array([len(ws) for ws in split])
+    places, mask, text = window_index(lengths)
+    if not len(text):
+        return network
+    rows = np.concatenate(split)[places]
+    bounds = np.searchsorted(text, np.arange(len(texts) + 1))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
     for epoch in range(epochs):
-        chosen: list[tuple[list[bytes], int]] = []
-        scores = None
-        if epoch >= 2:
-            lengths = np.array([len(w) for ws in windows for w in ws])
-            flat = [w for ws in windows for win in ws for w in win]
-            names = list(dict.fromkeys(flat))
-            row = {w: i for i, w in enumerate(names)}
-            starts = np.cumsum(lengths) - lengths
-            place = np.arange(WINDOW)
-            mask = place < lengths[:, None]
-            rows = np.fromiter((row[w] for w in flat), np.int64, len(flat))[starts[:, None] + np.minimum(place, lengths[:, None] - 1)]
-            flat_scores = window_scores(network, network.projected(names), rows, mask)
-            scores = np.split(flat_scores, np.cumsum([len(ws) for ws in windows])[:-1])
-        for i, (ws, y) in enumerate(zip(windows, of, strict=True)):
-            if scores is not None:
-                value = scores[i]
-            elif y:
-                value = np.array([max((by_word[w] for w in win), default=0) for win in ws])
-            else:
-                value = rng.random(len(ws))
-            best = np.argsort(-value, kind="stable")
-            chosen += [(ws[j], y) for j in best[: 1 if y else 3]]
-            if not y and scores is not None:
-                chosen.append((ws[rng.integers(len(ws))], 0))
-        order = rng.permutation(len(chosen))
+        mined = epoch >= 2
+        if mined:
+            value = window_scores(network, network.projected(names), rows, mask)
+        else:
+            toxic = np.array(labels)[text] == 1
+            value = np.where(toxic, np.where(mask, evidence[rows], -np.inf).max(axis=1), rng.random(len(text)))
+        chosen: list[int] = []
+        for i, y in enumerate(labels):
+            low, high = bounds[i], bounds[i + 1]
+            best = low + np.argsort(-value[low:high], kind="stable")
+            chosen += best[: 1 if y else 3].tolist()
+            if not y and mined and high > low:
+                chosen.append(int(rng.integers(low, high)))
+        order = rng.permutation(chosen)
         rate = 0.01 if epoch < epochs - 2 else 0.003
         for at in range(0, len(order), _BATCH):
-            batch = [chosen[j] for j in order[at : at + _BATCH]]
-            gradients = _gradients(network, [w for w, _ in batch], np.array([y for _, y in batch], np.float32))
+            batch = order[at : at + _BATCH]
+            words = [[names[j] for j in rows[w][mask[w]]] for w in batch]
+            gradients = _gradients(network, words, np.array(labels, np.float32)[text[batch]])
             step += 1
             for k, gradient in gradients.items():
                 first, second = moments[k]
