@@ -15,15 +15,16 @@ def op1_best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
 def op7_external_shuffle(spark: SparkSession, directory: str) -> DataFrame:
     shuffled, rows = sharding.shuffled_records(read_table(spark, directory, "documents"))
     text = F.col("record.text")
-    return sharding.assign_shards(shuffled, rows).select(
+    digest = shuffled.select(  # before places are joined, so that texts don't move again
+        "bucket",
+        "pos",
         F.col("record.doc_id").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("bigint").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        F.lit("rows").alias("law"),
-        "shard",
-        "slot",
-        F.lit(None).cast("int").alias("grown_shard"),
     )
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    placed = sharding.assign_shards(digest, rows)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", grown)
 
 
 def op8_source_mixing(spark: SparkSession, directory: str) -> DataFrame:
