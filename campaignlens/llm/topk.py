@@ -4,7 +4,7 @@ Every component of a query is a term, signed like the query: its postings in a s
 component has that sign, and its bound is the largest contribution there. A row's negative contributions only lower
 its score. Terms are sorted by bound; once the k-th best score of a query is known, the longest tail
 of terms whose bounds sum to less than it is non-essential: a row that is in no essential posting can't
-enter. Essential postings are traversed first; the other terms are probed in falling order of bound, only for
+enter, unless the k-th best score is negative: then every row stays a candidate. Essential postings are traversed first; the other terms are probed in falling order of bound, only for
 rows whose partial score plus the bounds still to come stays competitive. Shards give their k best rows per query
 and the merge keeps the k best of those.
 
@@ -91,11 +91,12 @@ class Shard:
                 essential = int(np.searchsorted(-to_come, -threshold, side="right"))
                 if essential == 0:
                     continue
-                in_postings = np.zeros(len(ids), bool)
+                # below zero even a row outside all postings, whose score is at most zero, may enter
+                in_postings = np.full(len(ids), threshold < 0)
                 for g in groups[:essential]:
-                    in_postings |= ((rows[:, g] > 0) == (query[g] > 0)).any(axis=1)
                     if in_postings.all():
                         break
+                    in_postings |= ((rows[:, g] > 0) == (query[g] > 0)).any(axis=1)
                 candidates = candidates[in_postings[candidates]]
                 scores = np.zeros(len(candidates), np.int64)
             for step, g in enumerate(groups):

@@ -221,3 +221,15 @@ def test_maxscore_skips_rows_but_stays_exact():
         scores = rows @ rows[q]
         order = [i for i in np.lexsort((ids, -scores)) if i != q][:5]
         assert found_ids.tolist() == order and found_scores.tolist() == scores[order].tolist()
+
+
+def test_negative_scores_in_later_blocks():
+    rng = np.random.default_rng(4)
+    ids, rows = np.arange(5000), rng.integers(1, 90, (5000, 12))
+    rows[-3:] = 0
+    rows[3000:3040] = 1
+    for query in (-rng.integers(1, 90, 12), np.array([-5, *[0] * 11])):
+        found_ids, found_scores = topk.Shard(ids, rows).search(7, query, 5)
+        scores = rows @ query
+        order = [i for i in np.lexsort((ids, -scores)) if i != 7][:5]
+        assert found_ids.tolist() == order and found_scores.tolist() == scores[order].tolist()
