@@ -3,14 +3,14 @@
 The model is an interpolated modified Kneser-Ney model of the bytes of lower-cased words between boundaries, counted
 in Spark over all texts and stored in sorted hash arrays in the shared folder. A word's probability depends on
 the word alone, so scoring tasks compute it once per new word and remember it. Perplexity is per byte. Each
-language has its own lower and upper limit, from the quartiles of its texts' log perplexities; texts outside
+language has its own lower and upper limit, from the quartiles of its distinct texts' log perplexities; texts outside
 are rejected.
 
 Defined results: a null or empty text has no words and fails the base rules; texts with a null language form
-one group; repeated rows count each time; an empty table gives an empty result; other columns are ignored.
+one group; repeated rows count each time in the model and once in the limits; an empty table gives an empty result; other columns are ignored.
 
 Scale: words are counted per task, n-grams are summed by Spark, and scoring is one pass without a shuffle. Quartiles are
-mergeable sketches per language, so a language may hold any share of the rows.
+mergeable sketches per language over one value per text hash, so a language or a text may hold any share of the rows.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ MAX_REPEAT_PERCENT = 50
 #: Limits in quartile distances from the median of the language's log perplexities, below and above.
 BAND_BELOW = 8.0
 BAND_ABOVE = 8.0
+#: A quartile distance counts as this much at least: those of sf0.1 lie between 0.0049 and 0.0118.
+LEAST_DISTANCE = 0.004
 _WORDS_AT_ONCE = 400_000
 _ROWS_PER_SHARD = 8_000_000
 _CACHED_WORDS = 600_000
@@ -233,6 +235,7 @@ METRICS_SCHEMA = T.StructType(
         T.StructField("lang", T.StringType()),
         *[T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         T.StructField("log_perplexity", T.DoubleType()),
+        T.StructField("text_hash", T.LongType()),
     ]
 )
 
@@ -240,6 +243,7 @@ METRICS_SCHEMA = T.StructType(
 def measured(docs: DataFrame, model: CharModel) -> DataFrame:
     """Surface counts and the log10 perplexity per byte of every whole text."""
     import pyarrow as pa
+    import xxhash
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if _SCORES.model != model:
@@ -255,9 +259,9 @@ def measured(docs: DataFrame, model: CharModel) -> DataFrame:
                 for text, words in zip(texts, small, strict=True):
                     size = sum(map(len, words)) + len(words)
                     total = sum(map(_SCORES.__getitem__, words))
-                    rows.append((*surface(text, text.split()), -total / size if size else None))
+                    rows.append((*surface(text, text.split()), -total / size if size else None, xxhash.xxh64_intdigest(text, 5) - (1 << 63)))
                 columns = zip(*rows, strict=True)
-                kinds = [pa.int64()] * 5 + [pa.float64()]
+                kinds = [pa.int64()] * 5 + [pa.float64(), pa.int64()]
                 made = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], METRICS_SCHEMA.names)
 
@@ -270,11 +274,13 @@ def base_failed() -> Column:
 
 
 def bands(metrics: DataFrame, below: float = BAND_BELOW, above: float = BAND_ABOVE) -> DataFrame:
-    """``(band_lang, low, high)``: limits of the log perplexity per language, from texts that pass the base rules."""
+    """``(band_lang, low, high)``: limits of the log perplexity per language, from distinct texts that pass the base rules."""
     quartiles = F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10000).alias("q")
-    by_lang = metrics.filter(~base_failed()).groupBy(F.col("lang").alias("band_lang")).agg(quartiles)
+    distinct = metrics.filter(~base_failed()).groupBy(F.col("lang").alias("band_lang"), "text_hash").agg(F.min("log_perplexity").alias("log_perplexity"))
+    by_lang = distinct.groupBy("band_lang").agg(quartiles)
     q1, q2, q3 = (F.col("q")[i] for i in range(3))
-    return by_lang.select("band_lang", (q2 - (q2 - q1) * below).alias("low"), (q2 + (q3 - q2) * above).alias("high"))
+    down, up = (F.greatest(d, F.lit(LEAST_DISTANCE)) for d in (q2 - q1, q3 - q2))
+    return by_lang.select("band_lang", (q2 - down * below).alias("low"), (q2 + up * above).alias("high"))
 
 
 def judged(docs: DataFrame, workspace: Workspace | None = None, order: int = ORDER) -> DataFrame:
@@ -285,4 +291,4 @@ def judged(docs: DataFrame, workspace: Workspace | None = None, order: int = ORD
     limits = workspace.table(bands(metrics), "bands")
     joined = metrics.join(limits, F.col("lang").eqNullSafe(F.col("band_lang")), "left")
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(False))
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & inside).drop("band_lang")
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & inside).drop("band_lang", "text_hash")

@@ -157,6 +157,16 @@ def test_quality_keeps_clean_and_drops_junk(spark, corpus, odd_docs, no_docs):
     assert quality.judged(no_docs).count() == 0
 
 
+def test_copies_do_not_move_the_limits(spark):
+    values = [(0.5 + i / 1000, i) for i in range(101)]
+    rows = [(*v, 100, 0, "en") for v in values + [(0.55, 50)] * 200]  # two thirds are one text
+    rows += [(0.7, 7, 100, 0, "de")] * 5  # a language of one text
+    metrics = spark.createDataFrame(rows, "log_perplexity double, text_hash long, n_words long, n_repeat_words long, lang string")
+    limits = {r["band_lang"]: r for r in quality.bands(metrics).collect()}
+    assert limits["en"]["low"] < 0.5 and limits["en"]["high"] > 0.6
+    assert limits["de"]["low"] < 0.7 < limits["de"]["high"]
+
+
 def test_toxicity_gradients():
     texts = [f"some plain words here number {i} and more of them" for i in range(20)]
     texts += [f"you awful nasty thing number {i} go away now" for i in range(20)]
