@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from campaignlens.llm import kneser_ney, langid, mixing, packing, pii, quality, sharding, simhash, topk, toxicity
+from campaignlens.llm import kneser_ney, langid, merkle, mixing, packing, pii, pu_quality, quality, sharding, simhash, spelling, topk, toxicity
 from campaignlens.llm.common import Workspace, in_fold, read_table
 
 
@@ -92,6 +92,18 @@ def op6_recurrent_toxicity(spark: SparkSession, directory: str) -> DataFrame:
 
 
 
+def op11_spelling_variants(spark: SparkSession, directory: str) -> DataFrame:
+    return spelling.variants(read_table(spark, directory, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    return merkle.audited(read_table(spark, directory, "documents"))
+
+
+def op13_positive_unlabelled_quality(spark: SparkSession, directory: str) -> DataFrame:
+    return pu_quality.quality_scores(read_table(spark, directory, "documents"), read_table(spark, directory, "labels"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op7_external_shuffle": op7_external_shuffle,
@@ -103,6 +115,9 @@ QUERIES = {
     "op9_kneser_ney_scoring": op9_kneser_ney_scoring,
     "op5_perplexity_quality": op5_perplexity_quality,
     "op6_recurrent_toxicity": op6_recurrent_toxicity,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_positive_unlabelled_quality": op13_positive_unlabelled_quality,
 }
 
 #: Searches by brute force over all pairs of a query and a row.
@@ -162,4 +177,102 @@ SELECT p.doc_id, p.size, source_size, target,
 FROM placed p JOIN spans ON p.source IS NOT DISTINCT FROM spans.source
 """
 
-ORACLE = {"op3_maxscore_top_k": _TOP_K, "op8_source_mixing": _MIXING}
+#: CRC-32 of ids from its polynomial; trees and proofs by recursion over levels, row by row.
+_MERKLE = """
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        (c, z) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) r(i)
+), d AS (
+    SELECT row_number() OVER () AS rid, *,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), x -> ascii(x)::BIGINT)),
+            (c, b) -> xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 7 = 0 AS tampered
+    FROM documents, crc_table
+), e AS (
+    SELECT rid, doc_id, lang, coalesce(tampered, false) AS tampered,
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+        coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS size,
+        coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS other_size,
+        coalesce(strlen(text) || ':' || text, '-') AS body
+    FROM d
+), leaves AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n
+    FROM (SELECT rid, doc_id, coalesce('=' || lang, '-') AS lang, sha256(head || size || body) AS leaf,
+        sha256(head || CASE WHEN tampered THEN other_size ELSE size END || body) AS second FROM e)
+), nodes AS (
+    SELECT 0 AS lvl, lang, place, n, leaf AS h FROM leaves
+    UNION ALL
+    SELECT lvl + 1, lang, place // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY place)) FROM nodes WHERE n > 1 GROUP BY lvl, lang, place // 2, n
+), subroots AS MATERIALIZED (
+    SELECT lang, h, row_number() OVER (ORDER BY lang) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1
+), top AS (
+    SELECT 0 AS lvl, place, n, h FROM subroots
+    UNION ALL
+    SELECT lvl + 1, place // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY place)) FROM top WHERE n > 1 GROUP BY lvl, place // 2, n
+), climbed AS (
+    SELECT rid, 0 AS lvl, l.lang, l.place, l.n, second AS h, '' AS proof FROM leaves l
+    UNION ALL
+    SELECT rid, c.lvl + 1, c.lang, c.place // 2, (c.n + 1) // 2,
+        sha256(CASE WHEN c.place % 2 = 0 THEN c.h || coalesce(s.h, '') ELSE s.h || c.h END), proof || coalesce(s.h, '')
+    FROM climbed c LEFT JOIN nodes s ON s.lvl = c.lvl AND s.lang = c.lang AND s.place = xor(c.place, 1) WHERE c.n > 1
+), over AS (
+    SELECT rid, 0 AS lvl, s.place, s.n, c.h, proof FROM climbed c JOIN subroots s ON c.lang = s.lang WHERE c.n = 1
+    UNION ALL
+    SELECT rid, o.lvl + 1, o.place // 2, (o.n + 1) // 2,
+        sha256(CASE WHEN o.place % 2 = 0 THEN o.h || coalesce(s.h, '') ELSE s.h || o.h END), proof || coalesce(s.h, '')
+    FROM over o LEFT JOIN top s ON s.lvl = o.lvl AND s.place = xor(o.place, 1) WHERE o.n > 1
+)
+SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, sha256(o.proof) AS proof_sha256, o.h AS folded_root, o.h = r.h AS verified
+FROM leaves l JOIN subroots s ON l.lang = s.lang JOIN over o ON o.rid = l.rid AND o.n = 1 CROSS JOIN (SELECT h FROM top WHERE n = 1) r
+"""
+
+#: Near words by wildcards: equal after one letter is masked or left out.
+_SPELLING = """
+WITH crc_table AS (
+    SELECT list(list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        (c, z) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) r(i)
+), runs AS (
+    SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+    FROM (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+    GROUP BY 1, 2
+), bytes AS (
+    SELECT *, list_transform(string_split(id || ':' || run, ''), x -> unicode(x)::BIGINT) AS points FROM runs WHERE length(run) >= 6
+), hashed AS (
+    SELECT run, times, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(points, x ->
+            CASE WHEN x < 128 THEN [x] ELSE [192 + (x >> 6), 128 + (x & 63)] END))),
+        (c, b) -> xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS h FROM bytes, crc_table
+), words AS MATERIALIZED (
+    SELECT CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, sum(times)::BIGINT AS n
+    FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(times) >= 5
+), cut AS MATERIALIZED (
+    SELECT word, n, i, word[:i - 1] AS before, word[i + 1:] AS after FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+    SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.before = b.before AND a.after = b.after AND a.word <> b.word
+    UNION
+    SELECT c.word, c.n, w.word, w.n FROM cut c JOIN words w ON w.word = c.before || c.after
+    UNION
+    SELECT w.word, w.n, c.word, c.n FROM cut c JOIN words w ON w.word = c.before || c.after
+), best AS MATERIALIZED (
+    SELECT word, n, count(*) AS n_near, max(other_n) AS most, arg_min(other, (-other_n, other)) AS other FROM near GROUP BY word, n
+), forms AS MATERIALIZED (
+    SELECT word, n_near, CASE WHEN most >= 5 * n THEN other END AS form, CASE WHEN most >= 5 * n THEN most END AS form_n FROM best
+), chain AS (
+    WITH RECURSIVE up AS (
+        SELECT word, form AS at FROM forms WHERE form IS NOT NULL
+        UNION ALL
+        SELECT up.word, f.form FROM up JOIN forms f ON f.word = up.at WHERE f.form IS NOT NULL
+    )
+    SELECT word, arg_max(at, n) AS root FROM (SELECT up.word, up.at, w.n FROM up JOIN words w ON w.word = up.at) GROUP BY word
+)
+SELECT w.word, form, coalesce(root, w.word) AS root, w.n, coalesce(n_near, 0)::BIGINT AS n_near, form_n
+FROM words w LEFT JOIN forms f ON w.word = f.word LEFT JOIN chain c ON w.word = c.word
+"""
+
+ORACLE = {
+    "op3_maxscore_top_k": _TOP_K,
+    "op8_source_mixing": _MIXING,
+    "op11_spelling_variants": _SPELLING,
+    "op12_merkle_manifest": _MERKLE,
+}
