@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from campaignlens.functions.numeric import count_where
+from campaignlens.operators.logistic import fit_logits
 from campaignlens.operators.sampling import stratified_folds
 from campaignlens.sources.store import durable
 
@@ -35,27 +34,24 @@ def reliability_table(scored: DataFrame, keys: Sequence[str] = ("model",), bins:
     )
 
 
-def fit_sigmoid(scored: DataFrame) -> tuple[float, float]:
-    """Slope and intercept of a logistic curve through ``(p, y)`` with smoothed targets.
+def _cells(scored: DataFrame, fit: Column) -> DataFrame:
+    """``(fit, p, n, y)``: rows of equal score in every fit, ``y`` their mean smoothed target."""
+    counts = scored.withColumn("fit", fit).groupBy("fit", "p").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("n1"))
+    sizes = counts.groupBy("fit").agg(F.sum("n1").alias("pos"), F.sum(F.col("n") - F.col("n1")).alias("neg"))  # one row per fit
+    high, low = (F.col("pos") + 1.0) / (F.col("pos") + 2.0), F.lit(1.0) / (F.col("neg") + 2.0)
+    target = (F.col("n1") * high + (F.col("n") - F.col("n1")) * low) / F.col("n")
+    return counts.join(sizes, "fit").select("fit", "p", "n", target.alias("y"))
 
-    Each class contributes two weighted copies of its rows, so a fractional target becomes an
-    ordinary weighted logistic fit.
-    """
-    sizes = scored.agg(count_where(F.col("y") == 1).alias("pos"), count_where(F.col("y") == 0).alias("neg")).first()
-    high = (sizes["pos"] + 1.0) / (sizes["pos"] + 2.0)
-    low = 1.0 / (sizes["neg"] + 2.0)
-    share = F.when(F.col("y") == 1, F.lit(high)).otherwise(F.lit(low))
-    copies = F.array(
-        F.struct(F.lit(1.0).alias("label"), share.alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), (F.lit(1.0) - share).alias("weight")),
-    )
-    fit_rows = scored.select(array_to_vector(F.array(F.col("p"))).alias("score"), F.explode(copies).alias("c")).select(
-        "score", "c.label", "c.weight"
-    )
-    model = LogisticRegression(
-        featuresCol="score", labelCol="label", weightCol="weight", regParam=0.0, standardization=True, maxIter=200, tol=1e-10
-    ).fit(fit_rows)
-    return float(model.coefficients[0]), float(model.intercept)
+
+def fit_sigmoids(scored: DataFrame, fit: Column) -> dict[int, tuple[float, float]]:
+    """Slope and intercept of a logistic curve through ``(p, y)`` with smoothed targets, for every value of ``fit``."""
+    curves = fit_logits(durable(_cells(scored, fit)), ["p"], weight="n", fit="fit")
+    return {c.fit: (c.coefficients[0], c.intercept) for c in curves}
+
+
+def fit_sigmoid(scored: DataFrame) -> tuple[float, float]:
+    """Slope and intercept over all rows."""
+    return fit_sigmoids(scored, F.lit(0))[0]
 
 
 def sigmoid(p: Column, slope: float, intercept: float) -> Column:
@@ -65,9 +61,9 @@ def sigmoid(p: Column, slope: float, intercept: float) -> Column:
 def out_of_fold_calibrated(scored: DataFrame, k: int = 5) -> DataFrame:
     """``(id, y, p, calibrated)``: every row calibrated by a curve fitted on the other folds."""
     folded = durable(stratified_folds(scored, k, stratum="y", tag="calibration", output="cal_fold"))
-    curves = [fit_sigmoid(folded.where(F.col("cal_fold") != f)) for f in range(k)]
+    others = F.filter(F.array(*[F.lit(f) for f in range(k)]), lambda f: f != F.col("cal_fold"))
     value = F.lit(None).cast("double")
-    for f, (slope, intercept) in enumerate(curves):
+    for f, (slope, intercept) in fit_sigmoids(folded, F.explode(others)).items():
         value = F.when(F.col("cal_fold") == f, sigmoid(F.col("p"), slope, intercept)).otherwise(value)
     return folded.withColumn("calibrated", value)
 

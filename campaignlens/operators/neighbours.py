@@ -1,45 +1,31 @@
 """Exact k-nearest-neighbour join without all-pairs work, and the classifier built on it.
 
-Equal points are collapsed first, on both sides: copies never meet each other. The distinct training points are cut into
-*units* around pivots: nearest pivot, then distance ring. The number of pivots follows the square root of the number
-of points, at every size alike. By the triangle inequality the unit's distances to its pivot bound the distance of any
-query to its rows. Every query first visits the few units needed to collect k neighbours, and
-then only those further units that could still hold a closer row. Crowded units are split into
-blocks on both sides, so one crowded unit still becomes many small tasks.
-Pivots and units only steer the work; the result does not depend on them.
+Equal points are collapsed first, on both sides: copies never meet each other. The distinct training points of every key are cut
+by a balanced tree: a node with more than ``LEAF_ROWS`` points is halved at the median of its widest column, level by level, each
+level one grouping over all points. Nodes keep their bounding boxes. A query first meets the leaf that it falls into; its k-th
+distance there then rules out every node whose box is farther away, again level by level, and it meets the leaves
+that are left. Leaves and queries are tables that are joined by node; nothing about them is held at the driver.
+The tree only steers the work; the result does not depend on it.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from campaignlens.operators.sampling import hash_sample
 from campaignlens.settings import TRANSFORMED_FEATURES
 from campaignlens.sources.store import durable
 
-FEWEST_PIVOTS = 4
-RINGS = 64
-BLOCK_ROWS = 20_000
+LEAF_ROWS = 2_048
+CHUNK_ROWS = 8_192
 DISTANCE_DIGITS = 9
 SLACK = 1e-6
 QUERY_SLICE = 256
 SALTS = 64
-
-
-def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(points), len(pivots)))
-    for j in range(points.shape[1]):
-        total += (points[:, j, None] - pivots[None, :, j]) ** 2
-    return np.sqrt(total)
-
-
-def _ring(distance: np.ndarray) -> np.ndarray:
-    return np.minimum(np.floor(8 * np.log2(1 + distance)), RINGS - 1).astype("int32")
+_LEVELS_PER_TABLE = 6
 
 
 def _field_list(rows: DataFrame, names: Sequence[str]) -> str:
@@ -47,84 +33,80 @@ def _field_list(rows: DataFrame, names: Sequence[str]) -> str:
     return ", ".join(f"`{n}` {kinds[n]}" for n in names)
 
 
-def _in_units(rows: DataFrame, keep: Sequence[str], pivots: np.ndarray) -> DataFrame:
-    """Rows with coordinates ``x`` and their unit ``(cell, ring)``."""
-    packed = rows.select(*keep, "x")
-
-    def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                d = _distances(np.vstack(batch["x"].to_numpy()), pivots)
-                cell = d.argmin(axis=1)
-                near = d[np.arange(len(d)), cell]
-                yield batch.assign(cell=cell.astype("int32"), ring=_ring(near), reach=near)
-
-    schema = _field_list(packed, [*keep, "x"]) + ", cell int, ring int, reach double"
-    return packed.mapInPandas(locate, schema)
-
-
-def _unit_bounds(distance: np.ndarray, units: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bound of the distance of each query to any row of each unit."""
-    d = distance[:, units["cell"].to_numpy()]
-    low, high = units["low"].to_numpy(), units["high"].to_numpy()
-    return np.maximum(0.0, np.maximum(d - high, low - d)), d + high
-
-
-def _route(queries: DataFrame, keys: Sequence[str], pivots: np.ndarray, units: pd.DataFrame, k: int, first: bool) -> DataFrame:
-    """Query rows repeated once per unit to visit.
-
-    First round: the units with the smallest upper bounds that together hold k rows. Second
-    round (``limit`` is the k-th distance so far): every other unit whose lower bound is smaller.
-    """
-    keys = list(keys)
-    by_key = {key if isinstance(key, tuple) else (key,): part for key, part in units.groupby(keys)} if keys else {(): units}
-    names = [*keys, "qid", "x"]
-
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            distance = _distances(np.vstack(batch["x"].to_numpy()), pivots)
-            limits = None if first else batch["limit"].to_numpy()
-            places = batch.groupby(keys, sort=False).indices if keys else {(): np.arange(len(batch))}
-            picked, cells, rings = [], [], []
-            for tag, rows in places.items():
-                part = by_key.get(tag if isinstance(tag, tuple) else (tag,))
-                if part is None:
-                    continue
-                counts = part["n"].to_numpy()
-                for start in range(0, len(rows), QUERY_SLICE):
-                    some = rows[start : start + QUERY_SLICE]
-                    low, high = _unit_bounds(distance[some], part)
-                    order = np.argsort(high, axis=1, kind="stable")
-                    short = (np.cumsum(counts[order], axis=1) < k).sum(axis=1)
-                    last = order[np.arange(len(some)), np.minimum(short, len(part) - 1)]
-                    chosen = high <= high[np.arange(len(some)), last][:, None]
-                    if not first:
-                        chosen = ~chosen & (low <= limits[some][:, None] + SLACK)
-                    query, unit = np.nonzero(chosen)
-                    picked.append(some[query])
-                    cells.append(part["cell"].to_numpy()[unit])
-                    rings.append(part["ring"].to_numpy()[unit])
-            if picked:
-                out = batch.iloc[np.concatenate(picked)][names].reset_index(drop=True)
-                yield out.assign(cell=np.concatenate(cells).astype("int32"), ring=np.concatenate(rings).astype("int32"))
-
-    return queries.mapInPandas(route, _field_list(queries, names) + ", cell int, ring int")
-
-
-def _search(routed: DataFrame, train: DataFrame, keys: Sequence[str], k: int, block: int) -> DataFrame:
-    """The k closest training rows of each query within each visited block."""
+def _grown(points: DataFrame, keys: Sequence[str], width: int, leaf_rows: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Points with their leaf ``node``, and one table of nodes per level: box ``low`` and ``high``, ``dim`` and ``cut`` of inner ones."""
+    node = [*keys, "node"]
+    done, active, levels = None, points.withColumn("node", F.lit(1).cast("bigint")), []
+    while True:
+        coordinate = [F.col("x")[i] for i in range(width)]
+        boxes = active.groupBy(*node).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.array(*[F.min(c) for c in coordinate]).alias("low"),
+            F.array(*[F.max(c) for c in coordinate]).alias("high"),
+        )
+        spreads = F.array(*[F.struct((F.col("high")[i] - F.col("low")[i]).alias("spread"), F.lit(-i).alias("dim")) for i in range(width)])
+        widest = F.array_max(spreads)
+        boxes = durable(boxes.withColumn("dim", F.when((F.col("n") > leaf_rows) & (widest["spread"] > 0), -widest["dim"])))
+        inner = boxes.where("dim IS NOT NULL")
+        value = F.element_at("x", F.col("dim") + 1)
+        halves = active.join(inner.select(*node, "dim"), node).groupBy(*node).agg(F.percentile_approx(value, 0.5, 1000).alias("half"))
+        least, most = F.element_at("low", F.col("dim") + 1), F.element_at("high", F.col("dim") + 1)
+        # both sides get points: a median that is also the maximum gives way to the middle
+        cut = F.when(F.col("half") < most, F.col("half")).otherwise((least + most) / 2)
+        level = durable(boxes.join(halves, node, "left").withColumn("cut", F.when(F.col("dim").isNotNull(), cut)).drop("half"))
+        levels.append(level)
+        stepped = active.join(level.select(*node, "dim", "cut"), node)
+        child = F.col("node") * 2 + F.when(value <= F.col("cut"), 0).otherwise(1)
+        stored = durable(stepped.withColumn("node", F.when(F.col("dim").isNull(), F.col("node")).otherwise(child)).withColumn("ended", F.col("dim").isNull()).drop("dim", "cut"))
+        ended = stored.where("ended").drop("ended")
+        done = ended if done is None else done.union(ended)
+        active = stored.where("NOT ended").drop("ended")
+        if inner.isEmpty():
+            return done, levels
+
+
+def _home(queries: DataFrame, levels: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Queries with the leaf ``node`` they fall into; those of a key without points are left out."""
+    node = [*keys, "node"]
+    at = queries.withColumn("node", F.lit(1).cast("bigint"))
+    for depth, level in enumerate(levels):
+        cuts = level.select(*node, "dim", "cut", F.lit(True).alias("here"))
+        joined = at.join(cuts, node, "inner" if depth == 0 else "left")
+        child = F.col("node") * 2 + F.when(F.element_at("x", F.col("dim") + 1) <= F.col("cut"), 0).otherwise(1)
+        at = joined.withColumn("node", F.when(F.col("dim").isNull(), F.col("node")).otherwise(child)).drop("dim", "cut", "here")
+        if depth % _LEVELS_PER_TABLE == _LEVELS_PER_TABLE - 1:
+            at = durable(at)
+    return at
+
+
+def _within_reach(queries: DataFrame, levels: Sequence[DataFrame], keys: Sequence[str], width: int) -> DataFrame:
+    """Queries ``(keys, qid, x, home, limit)`` once per leaf ``node``, other than their home, whose box lies within their limit."""
+    node = [*keys, "node"]
+    gaps = [F.greatest(F.col("low")[i] - F.col("x")[i], F.col("x")[i] - F.col("high")[i], F.lit(0.0)) for i in range(width)]
+    distance = F.sqrt(sum(g * g for g in gaps))
+    leaves, at = None, queries.withColumn("node", F.lit(1).cast("bigint"))
+    for level in levels:
+        near = at.join(level.select(*node, "low", "high", "dim"), node).where(distance <= F.col("limit") + SLACK).drop("low", "high")
+        stored = durable(near)
+        found = stored.where("dim IS NULL").drop("dim")
+        leaves = found if leaves is None else leaves.union(found)
+        both = F.explode(F.array(F.col("node") * 2, F.col("node") * 2 + 1))
+        at = stored.where("dim IS NOT NULL").withColumn("node", both).drop("dim")
+    return leaves.where("node <> home").select(*keys, "qid", "x", "node")
+
+
+def _search(routed: DataFrame, train: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """The k closest training rows of each query within each visited leaf."""
     keys = list(keys)
-    unit = [*keys, "cell", "ring"]
+    unit = [*keys, "node"]
     # One row per unit: how many pieces each side is cut into. Small tables are broadcast by the engine itself.
     pieces = (
         train.groupBy(*unit).agg(F.count(F.lit(1)).alias("rows"))
         .join(routed.groupBy(*unit).agg(F.count(F.lit(1)).alias("visits")), unit)
         .select(
             *unit,
-            F.ceil(F.col("rows") / block).cast("int").alias("salts"),
-            F.ceil(F.col("visits") / block).cast("int").alias("chunks"),
+            F.ceil(F.col("rows") / CHUNK_ROWS).cast("int").alias("salts"),
+            F.ceil(F.col("visits") / CHUNK_ROWS).cast("int").alias("chunks"),
         )
     )
     part = lambda name, n: F.pmod(F.xxhash64(name), F.col(n)).cast("int")
@@ -184,8 +166,7 @@ def nearest_neighbours(
     columns: Sequence[str] = TRANSFORMED_FEATURES,
     keys: Sequence[str] = (),
     exclude_self: bool = False,
-    pivots: int | None = None,
-    block: int = BLOCK_ROWS,
+    leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """``(keys, qid, id, y, d2, rank)``: the k training rows closest to every query row.
 
@@ -193,37 +174,21 @@ def nearest_neighbours(
     rows with equal keys are compared. Equal distances are ordered by id. With ``exclude_self``
     a row is never its own neighbour.
     """
-    keys = list(keys)
+    keys, width = list(keys), len(columns)
     wanted = k + 1 if exclude_self else k
     coordinates = F.array(*[F.col(f"`{c}`").cast("double") for c in columns]).alias("x")
     points = queries.select(*keys, F.col("id").alias("qid"), coordinates)
     # One search per distinct query point; of equal training points only the first ids can be neighbours.
     distinct = durable(points.groupBy(*keys, "x").agg(F.min("qid").alias("qid")))
     rows = train.select(*keys, "id", F.col("y").cast("int").alias("y"), coordinates)
-    few = durable(_first_of_equal(rows, keys, wanted))
-    number = few.count()
-    if pivots is None:
-        pivots = max(FEWEST_PIVOTS, math.isqrt(number) // 4)
-    centres = hash_sample(few.select("id", "x"), max(1, min(pivots, number)), tag="pivot").collect()
-    matrix = np.array([row["x"] for row in centres], dtype=float).reshape(len(centres), len(columns))
-    if not len(centres):
-        return _closest_k(_search(_nowhere(distinct), _nowhere(few), keys, wanted, block), keys, k)
-
-    located = durable(_in_units(few, [*keys, "id", "y"], matrix))
-    # At most pivots x rings rows per key, and never more than training points.
-    units = (
-        located.groupBy(*keys, "cell", "ring")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("low"), F.max("reach").alias("high"))
-        .orderBy(*keys, "cell", "ring")
-        .toPandas()
-    )
-    routed = durable(_route(distinct, keys, matrix, units, wanted, True))
-    first = durable(_closest_k(_search(routed, located, keys, wanted, block), keys, wanted))
+    located, levels = _grown(durable(_first_of_equal(rows, keys, wanted)), keys, width, leaf_rows)
+    homes = durable(_home(distinct, levels, keys))
+    first = durable(_closest_k(_search(homes, located, keys, wanted), keys, wanted))
     reach = first.groupBy(*keys, "qid").agg(
         F.when(F.count(F.lit(1)) >= wanted, F.sqrt(F.max("d2"))).otherwise(F.lit(float("inf"))).alias("limit")
     )
-    routed = durable(_route(distinct.join(reach, [*keys, "qid"]), keys, matrix, units, wanted, False))
-    second = _search(routed, located, keys, wanted, block)
+    limited = durable(homes.withColumnRenamed("node", "home").join(reach, [*keys, "qid"]))
+    second = _search(durable(_within_reach(limited, levels, keys, width)), located, keys, wanted)
     found = _closest_k(first.drop("rank").unionByName(second), keys, wanted).withColumnRenamed("qid", "first_qid")
     copies = points.join(distinct.withColumnRenamed("qid", "first_qid"), [*keys, "x"]).select(*keys, "qid", "first_qid")
     everyone = copies.join(found.drop("rank"), [*keys, "first_qid"]).drop("first_qid")
@@ -239,10 +204,6 @@ def _first_of_equal(rows: DataFrame, keys: Sequence[str], wanted: int) -> DataFr
     return salted.drop("_salt", "_place")
 
 
-def _nowhere(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({"cell": F.lit(0), "ring": F.lit(0)})
-
-
 def _finished(found: DataFrame, keys: Sequence[str], k: int, exclude_self: bool) -> DataFrame:
     if exclude_self:
         found = found.where(F.col("id") != F.col("qid"))

@@ -136,6 +136,15 @@ from fit_rows f join medians m on m.fit = f.fit join modes o on o.fit = f.fit gr
         "fit_x": f"select f.fit, f.id, f.split, f.fold, f.target, {_prep_columns()} from fit_rows f join stats s on s.fit = f.fit",
         "held_x": f"select s.fit, f.id, f.split, f.fold, f.target, {_prep_columns()} from assigned f join stats s on s.fit = f.fold",
         "fit_mix": "select f.*, r.age_group from fit_x f join fit_rows r on r.id = f.id and r.fit = f.fit where f.fit = -1",
+        "tree_x": "select id, target as y, unnest(range(11)) as f, unnest(["
+        + ", ".join(f"{q(c)}::double" for c in TRANSFORMED_FEATURES) + "]) as v from fit_x where fit = -1",
+        **grown_sql("tree", "tree_x", 3, "(l1 * l1 + (nl - l1) * (nl - l1)) / nl + (r1 * r1 + (nr - r1) * (nr - r1)) / nr"
+                    " - (n1 * n1 + (n - n1) * (n - n1)) / n", "n1 > 0 and n1 < n"),
+        "boost_x": "select f.id, f.target as y, unnest(range(11)) as f, unnest(["
+        + ", ".join([*[f"coalesce(f.{c}, s.{c}_median)::double" for c in NUMERIC_FEATURES],
+                     *[f"(coalesce(f.age_group, s.age_group_mode) = '{g}')::integer::double" for g in AGE_GROUPS[1:]]])
+        + "]) as v from fit_rows f join stats s on s.fit = f.fit where f.fit = -1",
+        **grown_sql("boost", "boost_x", 5, "nl * nr / n * (l1 / nl - r1 / nr) * (l1 / nl - r1 / nr)", "gain > 1e-9"),
         "minority": "select * from fit_mix where target = 1",
         "penalty": f"select quantile_cont(s, 0.5) as m from (select unnest([{spreads}]) as s from minority)",
         "smote_near": f"""
@@ -280,6 +289,31 @@ from boot_curve group by model, replicate having max(all_pos) > 0 and max(all_ne
     }
 
 
+def grown_sql(name: str, source: str, depth: int, gain: str, splits: str) -> dict[str, str]:
+    """Common tables that grow one tree level by level from ``(id, y, f, v)``: rows ``_r``, best cuts ``_b``, nodes ``_nodes``.
+
+    ``gain`` is written in rows ``n``, ``nl``, ``nr`` and responders ``n1``, ``l1``, ``r1``; ``splits`` says which nodes and gains allow a cut.
+    """
+    parts = {f"{name}_r0": f"select id, y, '' as path, f, v from {source} s"}
+    for k in range(depth):
+        parts[f"{name}_c{k}"] = f"""
+select *, n - nl as nr, n1 - l1 as r1 from (
+ select path, f, v, sum(m) over w as nl, sum(m1) over w as l1, lead(v) over w as next, sum(m) over (partition by path, f) as n, sum(m1) over (partition by path, f) as n1
+ from (select path, f, v, count(*)::double as m, sum(y)::double as m1 from {name}_r{k} group by path, f, v)
+ window w as (partition by path, f order by v))"""
+        parts[f"{name}_b{k}"] = f"""
+select path, {k} as depth, any_value(n) as n, any_value(n1) as n1,
+ arg_min({{'f': f, 'v': v, 'next': next}}, (-round(gain, 9), f, v)) filter (where next is not null and {splits}) as cut
+from (select *, {gain} as gain from {name}_c{k}) group by path"""
+        parts[f"{name}_r{k + 1}"] = f"""
+select r.id, r.y, r.path || case when x.v <= (b.cut.v + b.cut.next) / 2 then 'L' else 'R' end as path, r.f, r.v
+from {name}_r{k} r join {name}_b{k} b on r.path = b.path join {name}_r{k} x on x.id = r.id and x.f = b.cut.f"""
+    inner = " union all ".join(f"select path, depth, n, n1, cut.f as f, (cut.v + cut.next) / 2 as threshold from {name}_b{k}" for k in range(depth))
+    parts[f"{name}_nodes"] = f"""
+{inner} union all select path, {depth}, count(*), sum(y), null, null from {name}_r{depth} where f = 0 group by path"""
+    return parts
+
+
 def counts_sql(threshold: str) -> str:
     return (
         f"count(*) filter (p < {threshold} and y = 0) as tn, count(*) filter (p >= {threshold} and y = 0) as fp, "

@@ -20,8 +20,10 @@ from campaignlens.operators.classifiers import (
     grid,
     with_balanced_weights,
 )
+from campaignlens.operators import boosting, trees
 from campaignlens.operators.calibration import sigmoid
 from campaignlens.operators.curves import ranking_metrics
+from campaignlens.operators.logistic import fit_logits, logit_probability
 from campaignlens.operators.naive_bayes import fit_gaussian_nb, score_gaussian_nb
 from campaignlens.operators.neighbours import nearest_neighbours, neighbour_vote
 from campaignlens.operators.oversampling import encode_group, oversample
@@ -99,10 +101,25 @@ def _tag(rows: DataFrame, candidate: Candidate, position: int) -> DataFrame:
     )
 
 
-def _ml_fold_scores(data: FoldData, candidate: Candidate, position: int, fold: int) -> DataFrame:
-    model = candidate.classifier(data.sizes[fold]).fit(data.train(fold))
-    scored = model.transform(data.rest(fold)).withColumn("p", vector_to_array("probability")[1])
-    return _tag(scored, candidate, position)
+def _settings_scored(scores: DataFrame, candidates: Sequence[Candidate]) -> DataFrame:
+    """Scores of many settings by ``position`` with the settings' names."""
+    names = F.array(*[F.lit(_name(c.parameters)) for c in candidates])
+    return scores.select(
+        F.lit(candidates[0].model).alias("model"), "position", F.element_at(names, F.col("position") + 1).alias("parameters"), "fold", "id", "y", "p"
+    )
+
+
+def _logit_scores(data: FoldData, candidates: Sequence[Candidate]) -> DataFrame:
+    """``(position, fold, id, y, p)``: all strengths and folds of the logistic model are fitted in the same steps."""
+    strengths = [float(c.parameters["C"]) for c in candidates]
+    rows = durable(data.fits.select("fit", TARGET, *[F.col(f"`{c}`") for c in TRANSFORMED_FEATURES]))
+    logits = fit_logits(rows, TRANSFORMED_FEATURES, strengths, label=TARGET, fit="fit")
+    settings = F.array(*[
+        F.struct(F.lit(i).alias("position"), logit_probability([m for m in logits if m.strength == c], TRANSFORMED_FEATURES, "fit").alias("p"))
+        for i, c in enumerate(strengths)
+    ])
+    scored = data.held.withColumn("s", F.explode(settings))
+    return scored.select("s.position", "fold", "id", F.col(TARGET).alias("y"), "s.p")
 
 
 def candidate_scores(
@@ -126,10 +143,18 @@ def candidate_scores(
             for i, c in enumerate(candidates):
                 votes = neighbour_vote(near, c.parameters["n_neighbors"], c.parameters["weights"], ["fit"])
                 parts.append(lambda c=c, i=i, votes=votes: _tag(votes.drop("fit").join(labels, "id"), c, i))
+        elif model == "Logistic Regression":
+            parts.append(lambda cs=candidates: _settings_scored(_logit_scores(data, cs), cs))
+        elif model in ("Decision Tree", "Random Forest"):
+            # One tree per criterion, or one forest, serves every depth, split size and number of trees.
+            scored = trees.tree_grid_scores if model == "Decision Tree" else trees.forest_grid_scores
+            settings = [c.parameters for c in candidates]
+            parts.append(lambda scored=scored, settings=settings, cs=candidates: _settings_scored(scored(data.fits, data.held, settings), cs))
+        elif model == "Gradient Boosting":
+            settings = [c.parameters for c in candidates]
+            parts.append(lambda settings=settings, cs=candidates: _settings_scored(boosting.grid_scores(data.rows, data.statistics, settings, data.k), cs))
         else:
-            for i, c in enumerate(candidates):
-                for fold in range(data.k):
-                    parts.append(lambda c=c, i=i, fold=fold: _ml_fold_scores(data, c, i, fold))
+            raise ValueError(f"no such model: {model}")
     return durable_parts(parts, lambda tasks: run_parallel(tasks, parallelism))
 
 

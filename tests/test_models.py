@@ -199,11 +199,12 @@ def brute(queries, train, k, own=False):
     return found
 
 
-@pytest.mark.parametrize("pivots, block, hot", [(1, 20_000, 0.0), (8, 20_000, 0.0), (8, 40, 0.35)])
-def test_neighbours_match_brute_force(spark, pivots, block, hot):
+@pytest.mark.parametrize("leaf, chunk, hot", [(2048, 8192, 0.0), (60, 8192, 0.0), (25, 10, 0.35)])
+def test_neighbours_match_brute_force(spark, monkeypatch, leaf, chunk, hot):
+    monkeypatch.setattr(neighbours, "CHUNK_ROWS", chunk)
     train, tx, _ = points(spark, 400, 1, hot)
     queries, qx, _ = points(spark, 120, 2, hot)
-    got = nearest_neighbours(queries, train, 7, ["a", "b", "c"], pivots=pivots, block=block).orderBy("qid", "rank").collect()
+    got = nearest_neighbours(queries, train, 7, ["a", "b", "c"], leaf_rows=leaf).orderBy("qid", "rank").collect()
     want = brute(qx, tx, 7)
     assert len(got) == 120 * 7
     for i, r in enumerate(got):
@@ -214,7 +215,7 @@ def test_neighbours_match_brute_force(spark, pivots, block, hot):
 def test_neighbours_by_key_and_without_self(spark):
     train, tx, _ = points(spark, 150, 3, 0.3)
     both = train.withColumn("fit", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("a", F.col("a") + 10 * F.col("fit"))
-    got = nearest_neighbours(both, both, 4, ["a", "b", "c"], keys=["fit"], exclude_self=True, pivots=5, block=30)
+    got = nearest_neighbours(both, both, 4, ["a", "b", "c"], keys=["fit"], exclude_self=True, leaf_rows=20)
     want = brute(tx, tx, 4, own=True)
     rows = got.orderBy("fit", "qid", "rank").collect()
     assert len(rows) == 2 * 150 * 4
@@ -240,7 +241,8 @@ def test_copies_do_not_meet_each_other(spark):
 
 def test_fewer_rows_than_neighbours(spark):
     train, _, _ = points(spark, 3, 4)
-    assert nearest_neighbours(train, train, 9, ["a", "b", "c"], pivots=2).count() == 9
+    assert nearest_neighbours(train, train, 9, ["a", "b", "c"], leaf_rows=1).count() == 9
+    assert nearest_neighbours(train, train.limit(0), 9, ["a", "b", "c"]).count() == 0
 
 
 def test_votes(spark):
