@@ -54,7 +54,8 @@ def _byte_letters() -> dict[int, str]:
 class ChunkIds(dict):
     """Token ids (little-endian, 32 bits) of chunks between ASCII white space, remembered per worker.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of its chunks.
+    The tokenizer drops white space and never joins across it, so the ids of a text are those of its chunks. Special
+    tokens that are spelled out in a text count as themselves, as the library has it; they have no white space in them.
     Case doesn't matter to it and punctuation is cut off words, so most new chunks are known words
     plus a mark. A new word of letters below U+0130, which has one normal form and one lower-case form, needs the
     library's BPE model only; every other chunk takes the library's whole path.
@@ -67,7 +68,6 @@ class ChunkIds(dict):
 
         path = tokenizer if os.path.isabs(tokenizer) else public_tokenizers.path(tokenizer)
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         # the short cuts hold for lower-casing vocabularies with word ends and dropped white space
         self.by_word = self.whole.encode("Ab. ", add_special_tokens=False).ids == [
             i for part in ("ab", ".") for i in self.whole.encode(part, add_special_tokens=False).ids

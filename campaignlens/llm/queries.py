@@ -123,14 +123,14 @@ QUERIES = {
 #: Searches by brute force over all pairs of a query and a row.
 _TOP_K = """
 WITH v AS (
-    SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS q FROM embeddings
+    SELECT row_number() OVER () AS rid, vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS q FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND coalesce(list_sum([CASE WHEN x IS NULL OR isnan(x) OR isinf(x) THEN 1 ELSE 0 END for x in embedding]), 0) = 0
+      AND coalesce(list_sum([CASE WHEN x IS NULL OR isnan(x) OR abs(x) >= 1048576 THEN 1 ELSE 0 END for x in embedding]), 0) = 0
 ), scored AS (
-    SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+    SELECT a.rid, a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
     FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
 )
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+SELECT query_id, (row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
 FROM scored QUALIFY rank <= 5
 """
 
@@ -181,12 +181,12 @@ FROM placed p JOIN spans ON p.source IS NOT DISTINCT FROM spans.source
 _MERKLE = """
 WITH RECURSIVE crc_table AS (
     SELECT list(list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
-        (c, z) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) ORDER BY i) AS t
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) ORDER BY i) AS t
     FROM range(256) r(i)
 ), d AS (
     SELECT row_number() OVER () AS rid, *,
-        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), x -> ascii(x)::BIGINT)),
-            (c, b) -> xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 7 = 0 AS tampered
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 7 = 0 AS tampered
     FROM documents, crc_table
 ), e AS (
     SELECT rid, doc_id, lang, coalesce(tampered, false) AS tampered,
@@ -231,18 +231,18 @@ FROM leaves l JOIN subroots s ON l.lang = s.lang JOIN over o ON o.rid = l.rid AN
 _SPELLING = """
 WITH crc_table AS (
     SELECT list(list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
-        (c, z) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) ORDER BY i) AS t
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) ORDER BY i) AS t
     FROM range(256) r(i)
 ), runs AS (
     SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
     FROM (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
     GROUP BY 1, 2
 ), bytes AS (
-    SELECT *, list_transform(string_split(id || ':' || run, ''), x -> unicode(x)::BIGINT) AS points FROM runs WHERE length(run) >= 6
+    SELECT *, list_transform(string_split(id || ':' || run, ''), lambda x: unicode(x)::BIGINT) AS points FROM runs WHERE length(run) >= 6
 ), hashed AS (
-    SELECT run, times, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(points, x ->
+    SELECT run, times, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(points, lambda x:
             CASE WHEN x < 128 THEN [x] ELSE [192 + (x >> 6), 128 + (x & 63)] END))),
-        (c, b) -> xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS h FROM bytes, crc_table
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS h FROM bytes, crc_table
 ), words AS MATERIALIZED (
     SELECT CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, sum(times)::BIGINT AS n
     FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(times) >= 5
@@ -260,11 +260,11 @@ WITH crc_table AS (
     SELECT word, n_near, CASE WHEN most >= 5 * n THEN other END AS form, CASE WHEN most >= 5 * n THEN most END AS form_n FROM best
 ), chain AS (
     WITH RECURSIVE up AS (
-        SELECT word, form AS at FROM forms WHERE form IS NOT NULL
+        SELECT word, form AS step FROM forms WHERE form IS NOT NULL
         UNION ALL
-        SELECT up.word, f.form FROM up JOIN forms f ON f.word = up.at WHERE f.form IS NOT NULL
+        SELECT up.word, f.form FROM up JOIN forms f ON f.word = up.step WHERE f.form IS NOT NULL
     )
-    SELECT word, arg_max(at, n) AS root FROM (SELECT up.word, up.at, w.n FROM up JOIN words w ON w.word = up.at) GROUP BY word
+    SELECT word, arg_max(step, n) AS root FROM (SELECT up.word, up.step, w.n FROM up JOIN words w ON w.word = up.step) GROUP BY word
 )
 SELECT w.word, form, coalesce(root, w.word) AS root, w.n, coalesce(n_near, 0)::BIGINT AS n_near, form_n
 FROM words w LEFT JOIN forms f ON w.word = f.word LEFT JOIN chain c ON w.word = c.word

@@ -10,8 +10,8 @@ and the merge keeps the k best of those.
 
 Queries and rows meet in blocks: every block of queries with every shard of rows, each pair one task group.
 
-Defined results: vectors that are null or hold null or non-finite components take no part, nor do rows without
-an id; ids may repeat (a row is never its own query's candidate if the ids are equal); ties go to the smaller
+Defined results: vectors that are null or hold null or non-finite components, or any of ``LARGEST`` or beyond, take no part, nor do
+rows without an id; ids may repeat (every query row is ranked by itself; rows with its id are none of its candidates); ties go to the smaller
 id; shorter vectors count as padded with zeros; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -32,8 +32,12 @@ SHARD_ROWS = 8192
 _ROWS_AT_ONCE = 2048
 _TERMS_AT_ONCE = 8
 
+#: Components of this magnitude or more could give scores beyond 64 bits.
+LARGEST = float(1 << 20)
+
 HIT_SCHEMA = T.StructType(
     [
+        T.StructField("query_row", T.LongType()),
         T.StructField("query_id", T.LongType()),
         T.StructField("vec_id", T.LongType()),
         T.StructField("score", T.LongType()),
@@ -44,7 +48,7 @@ HIT_SCHEMA = T.StructType(
 def quantized(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """``(vec_id, v)`` with integer components ``floor(scale * x)`` of the vectors that take part."""
     x = F.col("embedding")
-    finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e.cast("double")) < F.lit(float("inf"))))
+    finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e.cast("double")) < F.lit(LARGEST)))
     whole = F.transform(x, lambda e: F.floor(e.cast("double") * scale).cast("bigint"))
     return vectors.filter(F.col("vec_id").isNotNull() & x.isNotNull() & finite).select("vec_id", whole.alias("v"))
 
@@ -124,17 +128,18 @@ def shard_hits(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     import pyarrow as pa
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        found: list[tuple[np.ndarray, ...]] = []
         if left.num_rows and right.num_rows:
             rows, queries = _matrix(left.column("v")), _matrix(right.column("v"))
             width = max(rows.shape[1], queries.shape[1])
             rows = np.pad(rows, ((0, 0), (0, width - rows.shape[1])))
             queries = np.pad(queries, ((0, 0), (0, width - queries.shape[1])))
             shard = Shard(left.column("vec_id").to_numpy(), rows)
-            for query_id, query in zip(right.column("vec_id").to_pylist(), queries, strict=True):
+            numbers = zip(right.column("query_row").to_pylist(), right.column("vec_id").to_pylist(), strict=True)
+            for (row, query_id), query in zip(numbers, queries, strict=True):
                 ids, scores = shard.search(query_id, query, k)
-                found.append((np.full(len(ids), query_id), ids, scores))
-        columns = [np.concatenate(c) if found else np.empty(0, np.int64) for c in (zip(*found, strict=True) if found else ((), (), ()))]
+                found.append((np.full(len(ids), row), np.full(len(ids), query_id), ids, scores))
+        columns = [np.concatenate(c) if found else np.empty(0, np.int64) for c in (zip(*found, strict=True) if found else ((), (), (), ()))]
         return pa.table(dict(zip(HIT_SCHEMA.names, map(pa.array, columns), strict=True)))
 
     cell = ("shard", "block")
@@ -162,8 +167,9 @@ def top_k(
 
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = rows.select("vec_id", "v", deal(shards).alias("shard")).withColumn("block", every(blocks))
-    right = queries.select("vec_id", "v", deal(blocks).alias("block")).withColumn("shard", every(shards))
+    numbered = queries.select("vec_id", "v", F.monotonically_increasing_id().alias("query_row"), deal(blocks).alias("block"))
+    right = numbered.withColumn("shard", every(shards))
     hits = shard_hits(left, right, k)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

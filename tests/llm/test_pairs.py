@@ -20,9 +20,7 @@ def tokenizer():
     public = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(public.path(packing.TOKENIZER))
-    whole.encode_special_tokens = True
-    return whole
+    return Tokenizer.from_file(public.path(packing.TOKENIZER))
 
 
 def test_ids_of_chunks_are_those_of_the_text(tokenizer):
@@ -30,12 +28,17 @@ def test_ids_of_chunks_are_those_of_the_text(tokenizer):
     texts = [t or "" for _, t, *_ in ROWS[:9]] + [
         "naïve café's I'm don't ÀÉÎ ǅ İstanbul ΣΑΣ ß ﬁ 12.5 a_b x²y ½ <|endoftext|> a\x1cb ​.",
         "it's. they'LL! A.B.C. ..., ?! a1b2 ª º µ ĳ |a| ##x%%", "日本語 テキスト 한국어 ẞ",
+        "a <|endoftext|> b", "x<|startoftext|>y. <|endoftext|>. <|ENDOFTEXT|> <|endoftext| >", "<|endoftext|><|endoftext|>don't|",
     ]
     for text in texts:
         ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
         assert chunks.ids(text.encode()) == ids.tobytes()
 
 
+def test_spelled_out_special_tokens_count_as_themselves():
+    assert list(np.frombuffer(packing.ChunkIds(packing.TOKENIZER).ids(b"a <|endoftext|> b"), "<u4")) == [320, 49407, 321]
+
+
 def test_packing_of_odd_documents(odd_docs, no_docs, tokenizer):
     rows = packing.packed(odd_docs, keep_ids=True).collect()
     expected = Counter()
@@ -233,3 +236,18 @@ def test_negative_scores_in_later_blocks():
         scores = rows @ query
         order = [i for i in np.lexsort((ids, -scores)) if i != 7][:5]
         assert found_ids.tolist() == order and found_scores.tolist() == scores[order].tolist()
+
+
+def test_repeated_query_rows_are_ranked_by_themselves(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(60)]
+    rows += [rows[50], (50, rows[3][1]), (70, [1e18, *[1.0] * 7]), (71, [2.0**20] * 8)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = Counter(tuple(r) for r in topk.top_k(vectors, F.col("vec_id") % 50 == 0).collect())
+    good = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in rows if max(map(abs, v)) < 2.0**20]
+    expected = Counter()
+    for q, a in good:
+        if q % 50 == 0:
+            hits = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in good if i != q)[:5]
+            expected.update((q, r, i, -s) for r, (s, i) in enumerate(hits, start=1))
+    assert found == expected and sum(expected.values()) == 20
