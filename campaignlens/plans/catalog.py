@@ -702,7 +702,7 @@ def _logit_sql() -> str:
 select feature, round_even(round_even(exp(w), 11), 6) as odds_ratio, round_even(round_even(abs(w), 11), 6) as abs_log_odds from (
  with recursive logit_x as (select target as y, [1.0::double, {', '.join(f'{q(c)}::double' for c in TRANSFORMED_FEATURES)}] as x, (count(*) over ())::double as rows from fit_x where fit = -1),
  walk as (
-  select 0 as k, list_transform(range({n}), i -> 0.0::double) as w, list_transform(range({n}), i -> 0.0::double) as u
+  select 0 as k, [0.0::double for i in range({n})] as w, [0.0::double for i in range({n})] as u
   union all
   select k + 1, v, [v[i] + m * (v[i] - w[i]) for i in range(1, {n + 1})] from (
    select k, w, [u[i] - s * g[i] for i in range(1, {n + 1})] as v, m from (
