@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from campaignlens.functions.numeric import count_where, ratio
@@ -60,8 +61,10 @@ def completeness_check(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def width_matches(vector_size: int, names: Sequence[str] = TRANSFORMED_FEATURES) -> bool:
-    return vector_size == len(names)
+def width_check(rows: DataFrame, vector: str = "features", names: Sequence[str] = TRANSFORMED_FEATURES) -> DataFrame:
+    """``(rows, wrong, ok)``: vectors whose length isn't the number of model columns."""
+    wrong = count_where(F.coalesce(F.size(vector_to_array(vector)), F.lit(-1)) != len(names)).alias("wrong")
+    return rows.agg(F.count(F.lit(1)).alias("rows"), wrong).withColumn("ok", F.col("wrong") == 0)
 
 
 def variance_audit(
@@ -116,6 +119,20 @@ def inconsistent_figures(expected: DataFrame, documents: DataFrame) -> DataFrame
     return expected.join(documents, ["document", "value"], "left_anti").select("document", "label", "value")
 
 
+def absent_figures(expected: DataFrame, location: str) -> DataFrame:
+    """Expected ``(document, label, value)`` texts that occur nowhere in the files below ``location/document``, whatever folders they lie in.
+
+    Every written line is matched with the figures of its own document: a few texts per document, joined by its name.
+    """
+    spark, folder = expected.sparkSession, "/" + location.rstrip("/").rsplit("/", 1)[-1]
+    lines = spark.read.option("recursiveFileLookup", True).text(location).select(
+        F.url_decode(F.regexp_extract(F.substring_index(F.col("_metadata.file_path"), folder, -1), r"^/([^/]+)/", 1)).alias("document"), "value"
+    )
+    wanted = expected.select("document", F.col("value").alias("figure")).distinct()
+    present = lines.join(wanted, "document").where(F.contains("value", "figure")).select("document", F.col("figure").alias("value")).distinct()
+    return inconsistent_figures(expected, present)
+
+
 def effect_audit(with_variants: DataFrame, low: str = "p0", high: str = "p1") -> DataFrame:
     """Rows where the prior-response variant does not raise the score by more than the floor."""
     gain = F.col(high) - F.col(low)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
@@ -144,6 +145,39 @@ def shapley_values(score: Scorer, rows: DataFrame, background: DataFrame, permut
     return moves.groupBy(F.col("row").alias("id"), F.col("m.feature").alias("feature")).agg(F.avg("m.gain").alias("phi"))
 
 
+def exact_shapley_values(
+    score: Scorer, rows: DataFrame, background: DataFrame, features: Sequence[str] = FEATURES, sample: int = SHAPLEY_ROWS, seed: int = SEED
+) -> DataFrame:
+    """``(id, feature, phi)`` by all ``2 ** len(features)`` coalitions against the whole background, for few features.
+
+    A coalition's value is the mean score of the background with the coalition's features taken from the row. Equal background
+    rows are scored once. At most ``sample`` rows are explained; they travel with every background cell, and only their means come back.
+    """
+    features, width = list(features), len(features)
+    kinds = dict(rows.dtypes)
+    chosen = hash_sample(rows.select("id", *features), sample, tag="shapley", seed=seed).collect()  # at most ``sample`` rows
+    cells = background.groupBy(*[F.col(f).alias(f"base_{f}") for f in features]).agg(F.count(F.lit(1)).alias("n"))
+    if not chosen:
+        return rows.select("id", F.lit("").alias("feature"), F.lit(0.0).alias("phi")).limit(0)
+    explained = F.array(*[F.struct(F.lit(r["id"]).alias("id"), *[F.lit(r[f]).cast(kinds[f]).alias(f) for f in features]) for r in chosen])
+    blends = cells.withColumn("e", F.explode(explained)).withColumn("coalition", F.explode(F.sequence(F.lit(0), F.lit((1 << width) - 1))))
+    inside = [F.shiftright("coalition", i).bitwiseAND(F.lit(1)) == 1 for i in range(width)]
+    mixed = blends.select(
+        F.col("e.id").alias("row"), "coalition", "n", F.lit(0).cast("bigint").alias("id"),
+        *[F.when(inside[i], F.col(f"e.{f}")).otherwise(F.col(f"base_{f}")).alias(f) for i, f in enumerate(features)],
+    )
+    values = score(mixed).groupBy("row", "coalition").agg((F.sum(F.col("p") * F.col("n")) / F.sum("n")).alias("value"))
+    # a coalition of s features counts with s! (width - s - 1)! / width! for every feature outside it, and likewise inside
+    weights = [math.factorial(s) * math.factorial(width - s - 1) / math.factorial(width) for s in range(width)]
+    size = F.bit_count(F.col("coalition"))
+    table = F.array(*[F.lit(w) for w in weights])
+    shares = [
+        F.sum(F.col("value") * F.when(inside[i], F.element_at(table, size)).otherwise(-F.element_at(table, size + 1))).alias(f)
+        for i, f in enumerate(features)
+    ]
+    return values.groupBy(F.col("row").alias("id")).agg(*shares).unpivot(["id"], features, "feature", "phi")
+
+
 def shapley_summary(values: DataFrame, top: int = SHAPLEY_TOP) -> DataFrame:
     """Mean absolute attribution per feature, largest first."""
     return values.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_phi")).orderBy(F.col("mean_abs_phi").desc(), "feature").limit(top)

@@ -27,8 +27,10 @@ def table_shape(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(rows.columns)).cast("bigint"))
 
 
-def column_types(rows: DataFrame) -> list[tuple[str, str]]:
-    return rows.dtypes
+def column_types(rows: DataFrame) -> DataFrame:
+    """``(position, column, type)`` in table order, from the schema alone."""
+    found = [(i, name, kind) for i, (name, kind) in enumerate(rows.dtypes)]
+    return rows.sparkSession.createDataFrame(found, "position int, `column` string, type string")
 
 
 def missing_counts(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -140,13 +140,13 @@ def key_figures(card: DataFrame, strategies: DataFrame, best: DataFrame, model:
             "Profit threshold": text.fixed(c("profit_threshold"), 2),
         }))
         .unionByName(one(policy(4), {
-            "Optimal net profit": text.money(c("net_profit"), 0),
+            "Optimal net profit": text.money(c("net_profit")),
             "Optimal contacts": c("contacts").cast("string"),
             "Optimal responders": c("responders_reached").cast("string"),
-            "Optimal cost": text.money(c("total_cost"), 0),
+            "Optimal cost": text.money(c("total_cost")),
             "Optimal cost saved": text.percent(c("cost_saved_pct") / 100),
         }))
-        .unionByName(one(policy(1), {"Everyone net profit": text.money(c("net_profit"), 0)}))
+        .unionByName(one(policy(1), {"Everyone net profit": text.money(c("net_profit"))}))
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -99,9 +99,13 @@ def _justification(close: Column, winner: Column, lead: Column) -> Column:
 
 
 def model_card(
-    test: DataFrame, leaderboard: DataFrame, digits: int | None = None, percent: float = 20.0
+    test: DataFrame, leaderboard: DataFrame, digits: int | None = None, percent: float = 20.0,
+    parameters: Mapping[str, Mapping[str, object]] | None = None,
 ) -> DataFrame:
-    """Test metrics of every model next to its development figures, best development score first."""
+    """Test metrics of every model next to its development figures, best development score first.
+
+    ``parameters`` adds every model's chosen settings as text in ``best_params``.
+    """
     at_default = with_ratios(confusion(test, DEFAULT_THRESHOLD)).drop("threshold")
     own = leaderboard.select("model", F.col("oof_threshold").alias("threshold"))
     tuned = with_ratios(confusion_at(test, own)).select(
@@ -126,6 +130,11 @@ def model_card(
             "model",
         )
     )
+    if parameters is not None:
+        chosen = F.lit(None).cast("string")
+        for model, settings in parameters.items():
+            chosen = F.when(F.col("model") == model, F.lit(", ".join(f"{k}={v}" for k, v in settings.items()))).otherwise(chosen)
+        card = card.withColumn("best_params", chosen)
     return card.orderBy(F.col("cv_pr_auc_mean").desc(), F.col("cv_roc_auc_mean").desc(), "model")
 
 

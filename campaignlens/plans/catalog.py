@@ -47,6 +47,7 @@ from campaignlens.plans.oracle import (
 )
 from campaignlens.operators.scorecard import scorecard
 from campaignlens.settings import FEATURES, NUMERIC_FEATURES, TARGET, TRANSFORMED_FEATURES, linear_grid
+from campaignlens.sources import files
 from campaignlens.sources.store import checkpoint_root, durable
 from campaignlens.sources.warehouse import raw_customers
 from campaignlens.streaming import scoring as streaming_scoring
@@ -683,6 +684,30 @@ def permutation_importance(spark, d):
     return r6(out, ["importance_mean", "importance_std"])
 
 
+def _shapley_sql() -> str:
+    blend = {f: f"(case when (m >> {i}) & 1 = 1 then c.{f} else b.{f} end)" for i, f in enumerate(FEATURES)}
+    factorial = [1, 1, 2, 6, 24, 120, 720, 5040, 40320]
+    weights = "[" + ", ".join(f"{factorial[s]} * {factorial[7 - s]} / 40320.0::double" for s in range(8)) + "]"
+    shares = ", ".join(
+        f"sum(v * case when (m >> {i}) & 1 = 1 then {weights}[bit_count(m)] else -{weights}[bit_count(m) + 1] end) as s{i}" for i in range(8)
+    )
+    return f"""
+select feature, round_even(round_even(avg(abs(phi)), 11), 6) as mean_abs_phi from (
+ select id, unnest(['{"', '".join(FEATURES)}']) as feature, unnest([{", ".join(f"s{i}" for i in range(8))}]) as phi from (
+  select id, {shares} from (
+   select c.id, m::integer as m, avg({_scorecard_sql(**blend)}) as v
+   from (select * from (select *, row_number() over (order by {hash_sql("id", tag="shapley")}, id) as rk from tested_features) where rk <= {explain.SHAPLEY_ROWS}) c,
+    (select {", ".join(FEATURES)} from assigned where split = 'train') b, range(256) t(m) group by c.id, m) group by id)) group by feature"""
+
+
+@query(_shapley_sql())
+def shapley_exact(spark, d):
+    """Attributions of the scorecard by all coalitions of the eight features against the whole training split."""
+    rows = demo.assigned(spark, d)
+    values = explain.exact_shapley_values(_score_card, rows.where("split = 'test'"), rows.where("split = 'train'"))
+    return r6(explain.shapley_summary(values, len(FEATURES)), ["mean_abs_phi"])
+
+
 @query()
 def shapley_sample(spark, d):
     rows = demo.assigned(spark, d)
@@ -956,6 +981,69 @@ def consistency_anti_join(spark, d):
     return checks.inconsistent_figures(expected, documents)
 
 
+def _written(spark, rows: DataFrame, name: str, write=files.write_csv) -> str:
+    """Location below the shared folder that ``rows`` have been written to."""
+    location = f"{checkpoint_root(spark)}/files-{uuid.uuid4().hex}/{name}"
+    write(rows, location)
+    return location
+
+
+@query("select * from raw")
+def raw_file_round_trip(spark, d):
+    """The raw customers written as a tab-separated file with a header, and read again."""
+    write = lambda rows, location: rows.write.option("sep", "\t").option("header", True).csv(location)
+    return files.read_raw(spark, _written(spark, raw_customers(spark, d).withColumn("extra", F.lit("x")), "raw", write))
+
+
+@query("select * from features")
+def feature_file_round_trip(spark, d):
+    """The feature table written as comma-separated files with headers, and read again."""
+    return files.read_features(spark, _written(spark, demo.features(spark, d), "features"))
+
+
+@query("select segment, " + ", ".join(f"{c}_{s}" for c in NUMERIC_FEATURES for s in ("mean", "median")) + f" from ({_profile_sql()})")
+def profile_file_round_trip(spark, d):
+    """The profile table written with its two header rows, and read again."""
+    return files.read_profiles(spark, _written(spark, profiles_actual_predicted(spark, d), "profiles", files.write_profiles))
+
+
+@query("""
+select model, printf('%.3f', m.accuracy::double) as accuracy, m.tn || ' / ' || m.fp || ' / ' || m.fn || ' / ' || m.tp as confusion
+from test_metrics m""")
+def formatted_card(spark, d):
+    board = selection.dev_leaderboard(demo.oof_scores(spark, d), DIGITS)
+    card = reporting.formatted_card(selection.model_card(demo.test_scores(spark, d), board, DIGITS))
+    return card.select("model", "accuracy", "confusion")
+
+
+_MONEY = "'$' || format('{{:,.2f}}', ({})::double)"
+
+
+@query(f"""
+select model || ' altered' as document, label, value from (
+ select model, unnest(['Optimal net profit', 'Everyone net profit']) as label,
+  unnest([max(case when position = 4 then {_MONEY.format('net_profit')} end), max(case when position = 1 then {_MONEY.format('net_profit')} end)]) as value,
+  string_agg({_MONEY.format('total_cost')} || ' ' || {_MONEY.format('gross_revenue')} || ' ' || {_MONEY.format('net_profit + 0.01')}, ' ') as written
+ from economics group by model) where not contains(written, value)""")
+def output_audit(spark, d):
+    """Key figures of both models looked up in a run's written tables, and in altered copies of them: only the altered profits are missing."""
+    board = selection.dev_leaderboard(demo.oof_scores(spark, d), DIGITS)
+    card = durable(selection.model_card(demo.test_scores(spark, d), board, DIGITS))
+    best, policies = (durable(rows) for rows in _policies(spark, d))
+    base = f"{checkpoint_root(spark)}/files-{uuid.uuid4().hex}"
+    expected = None
+    for model in (demo.NAIVE_BAYES, demo.SCORECARD):
+        one = lambda rows: rows.where(F.col("model") == model)  # noqa: E731, B023
+        shifted = policies.withColumn("net_profit", F.col("net_profit") + 0.01)
+        for name, table in ((model, policies), (f"{model} altered", shifted)):
+            files.write_csv(reporting.formatted_strategies(one(table)).coalesce(1), f"{base}/{name}/strategies")
+            files.write_csv(reporting.formatted_card(one(card)).coalesce(1), f"{base}/{name}/card")
+            files.write_csv(one(best).select("model", *[F.format_string("%.2f", c).alias(c) for c in ("f1_threshold", "profit_threshold")]).coalesce(1), f"{base}/{name}/best")
+            figures = reporting.key_figures(card, policies, best, model).select(F.lit(name).alias("document"), "label", "value")
+            expected = figures if expected is None else expected.union(figures)
+    return checks.absent_figures(expected, base)
+
+
 @query("select model, f1_threshold > 0 and profit_threshold > 0 and f1_threshold <> profit_threshold as ok from best")
 def threshold_audit(spark, d):
     best, _ = _policies(spark, d)

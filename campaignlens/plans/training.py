@@ -97,7 +97,7 @@ def run_analysis(
         deployed_name = f"{winner} (Calibrated)"
         deployed_model = deployed_model.calibrated(slope, intercept)
 
-    card = durable(selection.model_card(scored, board))
+    card = durable(selection.model_card(scored, board, parameters={m: c.parameters for m, c in candidates.items()}))
     policies = durable(thresholds.strategy_table(deployed, best, cost=cost, profit=profit))
     intervals = durable(bootstrap_ci(deployed, limits["profit_threshold"], replicates))
     segments = durable(
@@ -125,6 +125,9 @@ def store_analysis(analysis: Analysis, location: str) -> None:
     """Result tables as CSV, documents as JSON, scores partitioned by model, the fitted pipeline."""
     write_csv(analysis.model_card, f"{location}/results_comparison")
     write_csv(analysis.strategies, f"{location}/business_simulation")
+    for name in ("importances", "permutation_importance", "odds_ratios"):
+        if getattr(analysis, name) is not None:
+            write_csv(getattr(analysis, name), f"{location}/{name}")
     if analysis.imbalance is not None:
         write_csv(analysis.imbalance, f"{location}/imbalance_handling_comparison")
     write_profiles(analysis.profiles, f"{location}/customer_profiles")

@@ -10,7 +10,7 @@ from tests.oracle_check import compare, connect
 SMALLEST = "/root/testdata/sf0.001"
 #: On the smallest tables one median of an even number of rows is an exact half of the last digit shown, which the
 #: engines' binary fractions round differently.
-LARGER = {"profiles_actual_predicted": "/root/testdata/sf0.01"}
+LARGER = {name: "/root/testdata/sf0.01" for name in ("profiles_actual_predicted", "profile_file_round_trip")}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE))

@@ -211,3 +211,55 @@ def test_logit_of_separable_and_fractional_targets(spark):
     apart = durable(spark.createDataFrame([(float(i), int(i > 4)) for i in range(10)], "a double, y int"))
     (m,) = logistic.fit_logits(apart, ["a"], [1.0])
     assert m.coefficients[0] > 0.5 and m.gradient < 1e-8
+
+
+def test_exact_attributions_equal_all_orders(spark):
+    """Averages of marginal gains over every order of the features, background row by background row."""
+    from itertools import permutations
+
+    from campaignlens.operators import explain
+
+    rng = np.random.default_rng(4)
+    names = ["a", "b", "c"]
+    base = [(i, *map(float, rng.integers(0, 3, 3))) for i in range(12)]
+    rows = [(i, *map(float, rng.integers(0, 5, 3))) for i in range(4)]
+    kinds = "id long, a double, b double, c double"
+    score = lambda df: df.withColumn("p", F.col("a") * F.col("b") + F.sqrt(F.col("c")))
+    plain = lambda x: x[0] * x[1] + np.sqrt(x[2])
+    found = explain.exact_shapley_values(score, spark.createDataFrame(rows, kinds), spark.createDataFrame(base, kinds), names)
+    got = {(r["id"], r["feature"]): r["phi"] for r in found.collect()}
+    assert len(got) == 12
+    for i, *x in rows:
+        gains = {n: [] for n in names}
+        for _, *b in base:
+            for order in permutations(range(3)):
+                now = list(b)
+                for f in order:
+                    before = plain(now)
+                    now[f] = x[f]
+                    gains[names[f]].append(plain(now) - before)
+        for n in names:
+            assert got[i, n] == pytest.approx(np.mean(gains[n]), abs=1e-12)
+    empty = explain.exact_shapley_values(score, spark.createDataFrame(rows, kinds).limit(0), spark.createDataFrame(base, kinds), names)
+    assert empty.isEmpty()
+
+
+def test_figures_are_looked_up_in_their_own_documents(spark, tmp_path):
+    from campaignlens.operators import checks
+
+    for name, line in (("first run", "profit,$1,234.00"), ("second", "profit,$99.00")):
+        spark.createDataFrame([(line,)], "line string").write.text(str(tmp_path / "out" / name / "table"))
+    expected = [("first run", "profit", "$1,234.00"), ("first run", "other", "$99.00"), ("second", "profit", "$99.00"), ("third", "any", "x")]
+    absent = checks.absent_figures(spark.createDataFrame(expected, "document string, label string, value string"), str(tmp_path / "out"))
+    assert {tuple(r) for r in absent.collect()} == {("first run", "other", "$99.00"), ("third", "any", "x")}
+
+
+def test_widths_and_types(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from campaignlens.operators import checks, exploration
+
+    rows = spark.createDataFrame([([0.0] * WIDTH,), ([0.0] * 3,)], "x array<double>").withColumn("features", array_to_vector("x"))
+    assert checks.width_check(rows).first().asDict() == {"rows": 2, "wrong": 1, "ok": False}
+    types = exploration.column_types(spark.createDataFrame([], "id bigint, name string"))
+    assert [tuple(r) for r in types.orderBy("position").collect()] == [(0, "id", "bigint"), (1, "name", "string")]
