@@ -2,14 +2,14 @@
 
 The model is an interpolated modified Kneser-Ney model of the bytes of lower-cased words between boundaries, counted
 in Spark over all texts and stored in sorted hash arrays in the shared folder. A word's probability depends on
-the word alone, so scoring tasks compute it once per new word and remember it. Perplexity is per byte. Each
+the word alone, so every distinct word is scored once and stored the same way; a text's is looked up and added. Perplexity is per byte. Each
 language has its own lower and upper limit, from the quartiles of its distinct texts' log perplexities; texts outside
 are rejected.
 
 Defined results: a null or empty text has no words and fails the base rules; texts with a null language form
 one group; repeated rows count each time in the model and once in the limits; an empty table gives an empty result; other columns are ignored.
 
-Scale: words are counted per task, n-grams are summed by Spark, and scoring is one pass without a shuffle. Quartiles are
+Scale: words are counted per task and summed by Spark, n-grams are counted over distinct words, and scoring is one pass without a shuffle. Quartiles are
 mergeable sketches per language over one value per text hash, so a language or a text may hold any share of the rows.
 """
 
@@ -69,26 +69,20 @@ class CharModel:
     discounts: tuple[tuple[float, float, float], ...]
     unigrams: int
     types: int
+    word_shards: int
 
 
 def _gram_hash(codes: np.ndarray) -> np.ndarray:
     return pair_hash(codes, np.full(len(codes), 77, np.uint64))
 
 
-def _word_counts(texts: DataFrame, order: int) -> DataFrame:
-    """``(n, code, count)``: grams of all words, summed per task and then by Spark."""
+def word_table(texts: DataFrame) -> DataFrame:
+    """``(word, times)``: lower-cased words of all texts as bytes, counted per task and then by Spark."""
     import pyarrow as pa
 
-    def summed(words: Counter) -> pa.RecordBatch:
-        times = np.fromiter(words.values(), np.int64, len(words))
-        for lengths, codes, number in _grams(list(words), order):
-            key = np.stack([lengths.astype(np.uint64), codes])
-            sort = np.lexsort((key[1], key[0]))
-            key, weights = key[:, sort], times[number][sort]
-            firsts = np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0))))
-            totals = np.add.reduceat(weights, firsts)
-            made = [pa.array(key[0, firsts].astype(np.int32)), pa.array(key[1, firsts].view(np.int64)), pa.array(totals)]
-            return pa.RecordBatch.from_arrays(made, ["n", "code", "count"])
+    def packed(words: Counter) -> pa.RecordBatch:
+        made = [pa.array(words.keys(), pa.binary()), pa.array(words.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(made, ["word", "times"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
@@ -96,18 +90,40 @@ def _word_counts(texts: DataFrame, order: int) -> DataFrame:
             for value in text_bytes(batch.column(0)):
                 words.update(value.lower().split())
                 if len(words) >= _WORDS_AT_ONCE:
-                    yield summed(words)
+                    yield packed(words)
                     words = Counter()
         if words:
-            yield summed(words)
+            yield packed(words)
+
+    return texts.mapInArrow(count, "word binary, times bigint").groupBy("word").agg(F.sum("times").alias("times"))
+
+
+def _gram_counts(words: DataFrame, order: int) -> DataFrame:
+    """``(n, code, count)``: grams of all words of a :func:`word_table`, summed per batch and then by Spark."""
+    import pyarrow as pa
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            times = batch.column(1).to_numpy()
+            for lengths, codes, number in _grams(batch.column(0).to_pylist(), order):
+                key = np.stack([lengths.astype(np.uint64), codes])
+                sort = np.lexsort((key[1], key[0]))
+                key, weights = key[:, sort], times[number][sort]
+                firsts = np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0))))
+                totals = np.add.reduceat(weights, firsts)
+                made = [pa.array(key[0, firsts].astype(np.int32)), pa.array(key[1, firsts].view(np.int64)), pa.array(totals)]
+                yield pa.RecordBatch.from_arrays(made, ["n", "code", "count"])
 
     schema = "n int, code bigint, count bigint"
-    return texts.mapInArrow(count, schema).groupBy("n", "code").agg(F.sum("count").alias("count"))
+    return words.mapInArrow(count, schema).groupBy("n", "code").agg(F.sum("count").alias("count"))
 
 
 def train(docs: DataFrame, workspace: Workspace, order: int = ORDER) -> CharModel:
-    """Counts all words of ``docs.text`` and stores grams and contexts of every order."""
-    raw = workspace.table(_word_counts(docs.select(F.col("text").cast("string").alias("text")), order), "grams")
+    """Counts all words of ``docs.text``, stores grams and contexts of every order, and every word's own probability."""
+    words = workspace.table(word_table(docs.select(F.col("text").cast("string").alias("text"))), "words")
+    raw = workspace.table(_gram_counts(words, order), "grams")
     level = raw.filter(F.col("n") == order).select("code", "count")
     shards, found_discounts = [], []
     unigrams = types = 0
@@ -132,7 +148,39 @@ def train(docs: DataFrame, workspace: Workspace, order: int = ORDER) -> CharMode
         lower = stored.groupBy(suffix.alias("code")).agg(F.count(F.lit(1)).alias("count"))
         # grams at the opening boundary have nothing to their left: they keep their raw counts
         level = lower.union(raw.filter(F.col("n") == n - 1).select("code", "count"))
-    return CharModel(location, order, tuple(shards), tuple(found_discounts), unigrams, types)
+    word_shards = max(1, -(-words.count() // _ROWS_PER_SHARD))
+    model = CharModel(location, order, tuple(shards), tuple(found_discounts), unigrams, types, word_shards)
+    _store_word_logs(words, model)
+    return model
+
+
+def _store_word_logs(words: DataFrame, model: CharModel) -> None:
+    """Sorted hash arrays of the log probabilities of all counted words, each scored once."""
+    import pyarrow as pa
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = batch.column(0).to_pylist()
+            if some:
+                hashes = word_hashes(some)
+                made = [pa.array(shard_of(hashes, model.word_shards).astype(np.int32)), pa.array(hashes.view(np.int64)), pa.array(word_logs(model, some))]
+                yield pa.RecordBatch.from_arrays(made, ["shard", "hash", "log"])
+
+    def write(key: tuple, table: pa.Table) -> pa.Table:
+        hashes = table.column("hash").to_numpy().view(np.uint64)
+        order = np.argsort(hashes)
+        write_array(f"{model.location}/words-hash-{key[0].as_py()}", hashes[order])
+        write_array(f"{model.location}/words-log-{key[0].as_py()}", table.column("log").to_numpy()[order])
+        return pa.table({"rows": pa.array([len(order)], pa.int64())})
+
+    scored = words.select("word").mapInArrow(score, "shard int, hash bigint, log double")
+    scored.groupBy("shard").applyInArrow(write, "rows bigint").agg(F.sum("rows")).first()
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    import xxhash
+
+    return np.fromiter((xxhash.xxh64_intdigest(w, 11) for w in words), np.uint64, len(words))
 
 
 def _store(rows: DataFrame, location: str, names: tuple[str, ...], shards: int) -> None:
@@ -192,9 +240,15 @@ class WordScores(dict):
         if len(self) + len(new) > _CACHED_WORDS:
             self.clear()
             new = list(words)
-        for at in range(0, len(new), 100_000):
-            part = new[at : at + 100_000]
-            self.update(zip(part, word_logs(self.model, part).tolist(), strict=True))
+        if not new:
+            return
+        hashes, at = np.unique(word_hashes(new), return_inverse=True)
+        (found,) = look_up(self.model.location, "words-hash", {"words-log": np.int64}, self.model.word_shards, hashes)
+        logs = found.view(np.float64)[at]
+        unseen = np.flatnonzero(logs == 0)  # words that weren't counted; a stored probability is below one
+        if len(unseen):
+            logs[unseen] = word_logs(self.model, [new[i] for i in unseen])
+        self.update(zip(new, logs.tolist(), strict=True))
 
 
 _SCORES = WordScores()

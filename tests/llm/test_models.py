@@ -146,6 +146,60 @@ def word_prefix(model, byte: bytes) -> float:
     return p
 
 
+def plain_perplexities(texts: list[str], order: int) -> list[float]:
+    """Kneser-Ney over bytes of words with dictionaries, text by text."""
+    raw: dict = defaultdict(Counter)
+
+    def grams(word: bytes):
+        framed = b" " + word + b" "
+        for i in range(1, len(framed)):
+            n = min(i + 1, order)
+            yield framed[i + 1 - n : i + 1]
+
+    for text in texts:
+        for word in text.encode().lower().split():
+            for gram in grams(word):
+                raw[len(gram)][gram] += 1
+    levels = {order: Counter(raw[order])}
+    for n in range(order - 1, 0, -1):
+        levels[n] = Counter(gram[1:] for gram in levels[n + 1]) + raw[n]
+    kinds, totals, cuts = {}, {}, {}
+    for n, level in levels.items():
+        cuts[n] = kneser_ney.discounts([sum(c == k for c in level.values()) for k in range(1, 5)])
+        totals[n], kinds[n] = Counter(), defaultdict(lambda: [0, 0, 0])
+        for gram, c in level.items():
+            totals[n][gram[:-1]] += c
+            kinds[n][gram[:-1]][min(c, 3) - 1] += 1
+
+    def probability(gram: bytes) -> float:
+        p = 1 / (len(levels[1]) + 1)
+        for n in range(1, len(gram) + 1):
+            part = gram[-n:]
+            total, c, d = totals[n][part[:-1]], levels[n][part], cuts[n]
+            if total:
+                mass = sum(a * k for a, k in zip(d, kinds[n][part[:-1]], strict=True)) / total
+                p = (c - d[min(c, 3) - 1] if c else 0) / total + mass * p
+        return p
+
+    out = []
+    for text in texts:
+        words = text.encode().lower().split()
+        logs = [np.log10(probability(g)) for w in words for g in grams(w)]
+        out.append(-sum(logs) / (sum(map(len, words)) + len(words)))
+    return out
+
+
+@pytest.mark.parametrize("order", [2, 5])
+def test_perplexity_equals_a_plain_model(spark, order):
+    texts = [r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lang", F.lit("x"))
+    model = quality.train(docs, Workspace(spark), order)
+    found = {r["doc_id"]: r["log_perplexity"] for r in quality.measured(docs, model).collect()}
+    assert [found[i] for i in range(40)] == pytest.approx(plain_perplexities(texts, order), rel=1e-9)
+    other = spark.createDataFrame([(1, "zzqy words neverseen " + texts[0])], "doc_id long, text string").withColumn("lang", F.lit("x"))
+    assert quality.measured(other, model).first()["log_perplexity"] > found[0]
+
+
 def test_quality_keeps_clean_and_drops_junk(spark, corpus, odd_docs, no_docs):
     judged = quality.judged(corpus)
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
