@@ -35,3 +35,11 @@ def total(columns) -> Column:
 
 def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of numbers between -1 and 1, each rounded to 52 binary digits: the same whatever the order of additions.
+
+    The total must stay below 2048 in magnitude.
+    """
+    return F.sum(F.rint(value * F.lit(float(1 << 52))).cast("bigint")) / F.lit(float(1 << 52))

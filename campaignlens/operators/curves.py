@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from campaignlens.functions.numeric import ratio
+from campaignlens.functions.numeric import exact_sum, ratio
 from campaignlens.operators.ranking import SMALL_DOMAIN_DIGITS, positions_by_score, running_sums, score_groups, unit_levels
 
 TARGET_RECALL = 0.70
@@ -95,8 +95,8 @@ def auc_column() -> Column:
 
 
 def average_precision_column() -> Column:
-    """Step-wise average precision; without positives it is the prevalence, zero."""
-    steps = F.sum(
+    """Step-wise average precision; without positives it is the prevalence, zero. Independent of the order of additions."""
+    steps = exact_sum(
         ratio(F.col("pos"), F.col("all_pos")) * ratio(F.col("run_pos"), F.col("run_pos") + F.col("run_neg"))
     )
     return F.when(F.max("all_pos") > 0, steps).otherwise(F.lit(0.0))

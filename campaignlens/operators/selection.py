@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from campaignlens.functions.numeric import exact_sum
 from campaignlens.operators.curves import fpr_at_recall, ranking_metrics, top_capture
 from campaignlens.operators.thresholds import (
     DEFAULT_THRESHOLD,
@@ -25,11 +26,12 @@ def fold_metrics(oof: DataFrame, keys: Sequence[str] = ("model",), digits: int |
 
 
 def fold_summary(folds: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
-    """Mean and population deviation of the fold scores."""
+    """Mean and population deviation of the fold scores; means don't depend on the order of additions, so equal settings tie."""
+    mean = lambda c: exact_sum(F.col(c)) / F.count(c)
     return folds.groupBy(*keys).agg(
-        F.avg("pr_auc").alias("cv_pr_auc_mean"),
+        mean("pr_auc").alias("cv_pr_auc_mean"),
         F.stddev_pop("pr_auc").alias("cv_pr_auc_std"),
-        F.avg("roc_auc").alias("cv_roc_auc_mean"),
+        mean("roc_auc").alias("cv_roc_auc_mean"),
         F.stddev_pop("roc_auc").alias("cv_roc_auc_std"),
     )
 

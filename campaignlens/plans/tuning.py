@@ -166,7 +166,7 @@ def grid_results(scores: DataFrame, digits: int | None = None) -> DataFrame:
 
 def best_candidates(results: DataFrame) -> DataFrame:
     """Per model the parameter set with the highest mean average precision; the first one wins a tie."""
-    order = F.struct(-F.bround("cv_pr_auc_mean", 12), F.col("position"))
+    order = F.struct(-F.col("cv_pr_auc_mean"), F.col("position"))
     return results.groupBy("model").agg(
         F.min_by("position", order).alias("position"), F.min_by("parameters", order).alias("parameters")
     )
