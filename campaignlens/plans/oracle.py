@@ -4,10 +4,21 @@ from __future__ import annotations
 
 import re
 
-from campaignlens.operators.scorecard import INTERCEPT, OLDEST_GROUP_WEIGHT, WEIGHTS
 from campaignlens.settings import AGE_GROUPS, DUMMIES, FEATURES, NUMERIC_FEATURES, TRANSFORMED_FEATURES
 
 TWO_PI = 6.283185307179586
+# Fixed values of the demonstration scorecard, stated here once more so that the SQL doesn't lean on the engine.
+INTERCEPT = -2.2
+WEIGHTS = {
+    "income": 0.000008,
+    "previous_purchases": 0.02,
+    "purchase_frequency": -0.15,
+    "previous_campaign_response": 0.45,
+    "website_visits": 0.03,
+    "email_engagement": 2.4,
+    "discount_usage": -0.35,
+}
+OLDEST_GROUP_WEIGHT = 0.1
 # A Poisson(1) draw by inversion from a 32-bit hash steps to the next integer at these.
 POISSON_STEPS = (1580030169, 3160060337, 3950075422, 4213413783, 4279248374, 4292415292, 4294609778, 4294923276, 4294962463, 4294966817, 4294967253, 4294967292)
 
