@@ -284,7 +284,8 @@ def scored(figures: DataFrame, model: Model) -> DataFrame:
             for at in range(0, whole.num_rows, _TEXTS_AT_ONCE):
                 batch = whole.slice(at, _TEXTS_AT_ONCE)
                 x = _matrix(batch.column(1))
-                found = np.zeros(len(x)) if model.weights is None else _sigmoid(model.scale(x) @ model.weights)
+                # added up row by row, so that equal texts get equal scores wherever they stand in a block
+                found = np.zeros(len(x)) if model.weights is None else _sigmoid((model.scale(x) * model.weights).sum(axis=1))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
 
     return figures.select("doc_id", "figures").mapInArrow(score, "doc_id bigint, score double")
