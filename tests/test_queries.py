@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ast
+import inspect
+from collections import Counter
+
 import pytest
 
 from campaignlens.plans import catalog
@@ -17,3 +21,14 @@ LARGER = {name: "/root/testdata/sf0.01" for name in ("profiles_actual_predicted"
 def test_query_equals_its_sql(spark, name):
     directory = LARGER.get(name, SMALLEST)
     assert compare(catalog.QUERIES[name](spark, directory), connect(directory), catalog.ORACLE[name]) == []
+
+
+def test_no_name_of_the_catalog_is_assigned_twice():
+    """Queries look their constants up when they are called, so a later one of the same name would replace an earlier one."""
+    names = Counter()
+    for node in ast.parse(inspect.getsource(catalog)).body:
+        if isinstance(node, ast.FunctionDef):
+            names[node.name] += 1
+        elif isinstance(node, ast.Assign):
+            names.update(n.id for target in node.targets for n in ast.walk(target) if isinstance(n, ast.Name))
+    assert [name for name, times in names.items() if times > 1] == []
