@@ -1,16 +1,21 @@
-"""Near-duplicates by shingle sets: groups connected by Jaccard similarity of at least ``SIMILARITY``.
+"""Near-duplicates by SimHash and shingle sets: groups connected by Jaccard similarity of at least ``SIMILARITY``.
 
-Candidates share one of ``BANDS`` keys of ``BAND_ROWS`` minimum hashes each; a pair at similarity 0.8 shares none with
-probability (1 - 0.8**5)**25 = 5e-5, more similar ones less. Candidates whose sketches agree are verified on the two whole sets
-of 64-bit shingle hashes. Keys with many sets are worked off in rounds: in each, a growing hashed share of a key's
-sets, its hubs, meets all others that aren't connected to it yet, until the key's sets are one group or all have met.
+Candidates come from two searches, and whole sets of 64-bit shingle hashes decide on all of them. The operator of
+:mod:`campaignlens.llm.simhash`, on shingles of this module's width, links fingerprints within its radius. A pair at similarity
+0.8 differs in ten of 64 bits on average, which no radius that can be searched covers; so those that share one of ``BANDS`` keys of
+``BAND_ROWS`` minimum hashes and whose sketches agree are candidates too: a pair at similarity 0.8 shares no key with
+probability (1 - 0.8**5)**25 = 5e-5, more similar ones less. Keys with many sets are worked off in rounds: in each, a growing
+hashed share of a key's sets, its hubs, meets all others that aren't connected to it yet. What ``_ROUNDS`` rounds leave apart is
+compared by differences: every set of a key is stated as its difference from one set of the key, the centre, and only sets
+meet whose differences have an element in common early enough in order of frequency (a positional prefix filter, which loses no pair).
 
 Defined results: a text with fewer words than a shingle is one shingle, a null or empty text the empty set; equal sets
 are one group; rows without an id lose to those with one; an empty table gives an empty result.
 
-Scale: equal sets collapse before anything is compared. Only texts that share a key with another move, once per pair that isn't
+Scale: equal sets collapse before anything is compared. Only texts of candidates move, once per pair that isn't
 ruled out by sizes and sketches; a hub's text moves once per ``_SALT_ROWS`` members. Crowded keys are salted, so that one group
-may hold any share of the rows.
+may hold any share of the rows. Sets that are alike in many places but too far apart don't all meet: only those that differ
+from the centre in the same places do.
 """
 
 from __future__ import annotations
@@ -18,8 +23,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from campaignlens.llm import simhash
 from campaignlens.llm.common import Workspace, text_bytes
 from campaignlens.llm.kneser_ney import WordHashes, pair_hash
 from campaignlens.llm.simhash import components
@@ -32,6 +38,7 @@ BAND_ROWS = 5
 LEAST_AGREEING = 80
 _FIRST_SHARE = 1
 _GROWTH = 16
+_ROUNDS = 2
 _SMALL_KEY = 4
 _SALT_ROWS = 512
 _AT_ONCE = 2048
@@ -77,7 +84,7 @@ def sketch(least: np.ndarray) -> bytes:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """The documents (all columns) with ``fp``, the hash of the shingle set, its ``size``, band ``keys`` and ``sketch``; an empty set has no keys."""
+    """The documents (all columns) with ``fp``, the hash of the shingle set, its ``set_size``, band ``keys`` and ``sketch``, and the SimHash ``bits``; an empty set has no keys."""
     import pyarrow as pa
     import xxhash
 
@@ -85,7 +92,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, sizes, keys, sketches = [], [], [], []
+            prints, sizes, keys, sketches, bits = [], [], [], [], []
             for text in text_bytes(batch.column(at)):
                 found = shingle_set(text)
                 prints.append(xxhash.xxh64_intdigest(found.tobytes(), 42))
@@ -93,48 +100,119 @@ def signed(docs: DataFrame) -> DataFrame:
                 least = least_hashes(found)
                 keys.append(band_keys(least) if len(found) else np.empty(0, np.int64))
                 sketches.append(sketch(least))
+                bits.append(simhash.fingerprint(text, SHINGLE_WORDS))
             made = [pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made, pa.array(sketches, pa.binary())], schema.names)
+            made += [pa.array(sketches, pa.binary()), pa.array(np.array(bits, np.uint64).view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema.names)
 
-    added = [T.StructField("fp", T.LongType()), T.StructField("set_size", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())]
+    added = [T.StructField("fp", T.LongType()), T.StructField("set_size", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+    added += [T.StructField("sketch", T.BinaryType()), T.StructField("bits", T.LongType())]
     schema = T.StructType([*docs.schema.fields, *added])
     return docs.mapInArrow(sign, schema)
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose whole shingle sets are similar enough; ``texts`` holds one text per ``fp``.
+def _dealt(pairs: DataFrame, texts: DataFrame, workspace: Workspace) -> DataFrame:
+    """``(a, b, text)``: a hub's text, where ``a`` is null, comes before those of the pairs ``(a, b)`` in which it is ``b``.
 
-    A text moves once per pair in which it is ``a`` and once per ``_SALT_ROWS`` or so pairs in which it is ``b``: members of a
-    hub meet it sorted behind it, and are compared one by one as they arrive.
+    A text moves once per pair in which it is ``a`` and once per ``_SALT_ROWS`` or so pairs in which it is ``b``. Where each of
+    them goes is stored first: a table of numbers alone, which Spark sends to the texts as long as it may be broadcast.
     """
+    salts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _SALT_ROWS).cast("int").alias("salts"))
+    salt = F.pmod(F.xxhash64("a", F.lit(5)), "salts").cast("int").alias("salt")
+    members = pairs.join(salts, "b").select(F.col("a").alias("fp"), "a", "b", salt)
+    every = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    hubs = salts.select(F.col("b").alias("fp"), F.lit(None).cast("long").alias("a"), "b", every)
+    moves = workspace.table(members.union(hubs), "moves")
+    both = texts.join(moves, "fp").select("a", "b", "salt", "text")
+    return both.repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first()).select("a", "b", "text")
+
+
+def _with_hubs(batch, hub: list) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Members of a batch of :func:`_dealt` with their hub and both shingle sets; ``hub`` is the last one before the batch, then after it."""
+    members, hubs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+    for member, other, text in zip(members, hubs, text_bytes(batch.column(2)), strict=True):
+        if member is None:
+            hub[:] = other, shingle_set(text)
+            continue
+        if other != hub[0]:
+            raise ValueError("a hub's text must come before its members")
+        yield member, other, shingle_set(text), hub[1]
+
+
+def _similar(common: int, one: int, two: int) -> bool:
+    return common * SIMILARITY[1] >= SIMILARITY[0] * (one + two - common)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, workspace: Workspace) -> DataFrame:
+    """The pairs ``(a, b)`` whose whole shingle sets are similar enough; ``texts`` holds one text per ``fp``."""
     import pyarrow as pa
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, hub_set = None, np.empty(0, np.uint64)
+        hub = [None, None]
         for batch in batches:
             a, b = [], []
-            members, hubs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for member, other, text in zip(members, hubs, text_bytes(batch.column(2)), strict=True):
-                if member is None:
-                    hub, hub_set = other, shingle_set(text)
-                    continue
-                if other != hub:
-                    raise ValueError("a hub's text must come before its members")
-                found = shingle_set(text)
-                both = len(np.intersect1d(found, hub_set, assume_unique=True))
-                if both * SIMILARITY[1] >= SIMILARITY[0] * (len(found) + len(hub_set) - both):
+            for member, other, found, hub_set in _with_hubs(batch, hub):
+                if _similar(len(np.intersect1d(found, hub_set, assume_unique=True)), len(found), len(hub_set)):
                     a.append(member)
                     b.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    salts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _SALT_ROWS).cast("int").alias("salts"))
-    members = pairs.join(salts, "b").select("a", "b", F.pmod(F.xxhash64("a", F.lit(5)), "salts").cast("int").alias("salt"))
-    members = members.join(texts.select(F.col("fp").alias("a"), "text"), "a")
-    hubs = salts.join(texts.select(F.col("fp").alias("b"), "text"), "b")
-    hubs = hubs.select(F.lit(None).cast("long").alias("a"), "b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "text")
-    both = members.select("a", "b", "text", "salt").union(hubs.select("a", "b", "text", "salt"))
-    dealt = both.repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
-    return dealt.select("a", "b", "text").mapInArrow(compare, "a long, b long")
+    return _dealt(pairs, texts, workspace).mapInArrow(compare, "a long, b long")
+
+
+def _differences(pairs: DataFrame, texts: DataFrame, workspace: Workspace) -> DataFrame:
+    """The pairs with ``n``, the size of the set ``a``, the ``elements`` that only one of the sets has, and whether they are ``near``."""
+    import pyarrow as pa
+
+    schema = "a long, b long, n long, elements array<long>, near boolean"
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = [None, None]
+        for batch in batches:
+            rows = []
+            for member, other, found, hub_set in _with_hubs(batch, hub):
+                apart = np.setxor1d(found, hub_set, assume_unique=True)
+                common = (len(found) + len(hub_set) - len(apart)) // 2
+                rows.append((member, other, len(found), apart.view(np.int64), _similar(common, len(found), len(hub_set))))
+            kinds = pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_()
+            columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n", "elements", "near"])
+
+    return _dealt(pairs, texts, workspace).mapInArrow(differ, schema)
+
+
+def _by_differences(differences: DataFrame, rooted: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of sets with the same centre that aren't connected yet and may be similar.
+
+    Sets of x and y elements with s elements in only one of them are similar if 9 s <= x + y, and s is the size of both
+    differences without twice their common elements. Elements of a difference go from the rarest to the most frequent; if the first common one has
+    ``left`` elements from there to the end, no more than the lesser ``left`` are common. (If none need be, both are near the centre.)
+    """
+    t, u = SIMILARITY
+    sure, least = u + t, u - t  # similar: sure * s <= least * (x + y)
+    by_centre = Window.partitionBy("b", "a").orderBy(F.desc("times"), F.desc("e"))
+    known = differences.select("a", "b", "n", F.size("elements").alias("d"), "elements").join(rooted.withColumnRenamed("fp", "a"), "a", "left")
+    known = known.withColumn("root", F.coalesce("root", "a"))
+    each = known.select("a", "b", "n", "d", "root", F.explode("elements").alias("e"))
+    times = each.groupBy("b", "e").agg(F.count(F.lit(1)).alias("times"), F.min("d").alias("d_least")).filter("times > 1")
+    each = each.join(times, ["b", "e"]).withColumn("left", F.row_number().over(by_centre))
+    # no partner is closer to the centre than d_least, nor larger than n * u / t
+    each = each.filter(2 * t * sure * F.col("left") >= t * sure * (F.col("d") + F.col("d_least")) - least * (t + u) * F.col("n"))
+    one, two = (each.select("b", "e", *[F.col(c).alias(f"{c}_{k}") for c in ("a", "n", "d", "root", "left")]) for k in (1, 2))
+    sizes = F.least("n_1", "n_2") * u >= F.greatest("n_1", "n_2") * t
+    enough = 2 * sure * F.least("left_1", "left_2") >= sure * (F.col("d_1") + F.col("d_2")) - least * (F.col("n_1") + F.col("n_2"))
+    met = one.join(two, ["b", "e"]).filter((F.col("a_1") < F.col("a_2")) & (F.col("root_1") != F.col("root_2")) & sizes & enough)
+    return met.select(F.col("a_1").alias("a"), F.col("a_2").alias("b")).distinct()
+
+
+def _by_simhash(holders: DataFrame, workspace: Workspace) -> DataFrame:
+    """Pairs ``(a, b)`` of sets by the SimHash operator: of equal fingerprints the smallest set, of linked ones those, and each other one with its smallest."""
+    printed = holders.filter("set_size > 0").select("fp", "bits")
+    distinct = workspace.table(printed.groupBy("bits").agg(F.min("fp").alias("least")), "fingerprints")
+    linked = simhash.links(distinct.select(F.col("bits").alias("fp")), distinct.count())
+    linked = linked.join(distinct.toDF("a", "one"), "a").join(distinct.toDF("b", "two"), "b").select(F.col("one").alias("a"), F.col("two").alias("b"))
+    equal = printed.join(distinct, "bits").filter("fp != least").select(F.col("fp").alias("a"), F.col("least").alias("b"))
+    return linked.union(equal)
 
 
 def _meetings(live: DataFrame, done: Column, share: Column) -> DataFrame:
@@ -175,26 +253,29 @@ def groups(stored: DataFrame, workspace: Workspace) -> DataFrame:
     """``(fp, root)`` of every set of a stored table of :func:`signed` rows that is connected to a smaller one."""
     firsts = stored.groupBy("fp").agg(F.min("row_number").alias("row_number"))
     holders = workspace.table(
-        stored.select("fp", "set_size", "keys", "sketch", "row_number").join(firsts, ["fp", "row_number"], "left_semi"), "sets"
+        stored.select("fp", "set_size", "keys", "sketch", "bits", "row_number").join(firsts, ["fp", "row_number"], "left_semi"), "sets"
     )
     keyed = holders.select("fp", "set_size", F.posexplode("keys").alias("band", "key"))
     shared = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     # the same place in every key, so that a group's keys choose the same sets and pairs repeat
     place = F.pmod(F.xxhash64("fp", F.lit(17)), F.lit(1 << 52)) / F.lit(float(1 << 52))
     live = workspace.table(keyed.join(shared, ["band", "key"]).withColumn("place", place), "keys")
-    candidates = workspace.table(holders.select("fp", "row_number", "sketch").join(live.select("fp").distinct(), "fp"), "candidates")
+    printed = workspace.table(_by_simhash(holders, workspace), "printed")
+    some = live.select("fp").union(printed.select("a")).union(printed.select("b")).distinct()
+    candidates = workspace.table(holders.select("fp", "row_number", "sketch").join(some, "fp"), "candidates")
     sketches = candidates.select("fp", "sketch")
     texts = stored.select("fp", "row_number", F.col("record.text").cast("string").alias("text"))
     # a table of numbers alone has a known, small size: Spark moves it to the texts as long as it may be broadcast
     wanted = workspace.table(candidates.select("row_number"), "wanted")
     texts = workspace.table(texts.join(wanted, "row_number", "left_semi").select("fp", "text"), "texts")
-    at, links, rooted = live.withColumn("root", F.col("fp")), None, None
+    at, links, met = live.withColumn("root", F.col("fp")), None, printed
     done, sets = F.lit(0.0), float(_FIRST_SHARE)
-    while True:
+    for _ in range(_ROUNDS):
         share = F.when(F.col("m") <= F.greatest(F.lit(2 * sets), F.lit(float(_SMALL_KEY))), 1.0).otherwise(F.lit(sets) / F.col("m"))
-        pairs = workspace.table(_promising(_meetings(at, done, share), sketches), "pairs")
-        found = verified(pairs, texts)
-        links = workspace.table(found if links is None else links.union(found), "verified")
+        pairs = _promising(_meetings(at, done, share), sketches)
+        pairs = workspace.table(pairs if met is None else pairs.union(met).distinct(), "pairs")
+        found = verified(pairs, texts, workspace)
+        links, met = workspace.table(found if links is None else links.union(found), "verified"), None
         rooted = workspace.table(components(links, workspace), "rooted")
         done, sets = share, sets * _GROWTH
         at = live.filter(done < 1.0).join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -203,6 +284,12 @@ def groups(stored: DataFrame, workspace: Workspace) -> DataFrame:
         if live.isEmpty():
             return rooted
         at, live = live, live.drop("root")
+    centres = workspace.table(live.groupBy("band", "key").agg(F.min_by("fp", "place").alias("b")), "centres")
+    members = live.select("band", "key", F.col("fp").alias("a")).join(centres, ["band", "key"]).filter("a != b").select("a", "b").distinct()
+    differences = workspace.table(_differences(workspace.table(members, "members"), texts, workspace), "differences")
+    pairs = workspace.table(_promising(_by_differences(differences, rooted), sketches), "pairs")
+    links = links.union(differences.filter("near").select("a", "b")).union(verified(pairs, texts, workspace))
+    return workspace.table(components(workspace.table(links, "verified"), workspace), "rooted")
 
 
 def one_per_group(docs: DataFrame, workspace: Workspace | None = None) -> DataFrame:

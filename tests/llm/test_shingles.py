@@ -7,9 +7,11 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from campaignlens.llm import shingles, simhash
+from campaignlens.llm.common import Workspace
 from tests.llm.conftest import ROWS
 
 
@@ -88,3 +90,42 @@ def test_keys_of_similar_sets_meet(n):
         assert (shingles.band_keys(one) == shingles.band_keys(two)).any()
         agreeing = np.frombuffer(shingles.sketch(one), np.uint8) == np.frombuffer(shingles.sketch(two), np.uint8)
         assert agreeing.sum() >= shingles.LEAST_AGREEING
+
+
+def test_simhash_operator_finds_candidates(spark):
+    """Sets without any minimum-hash key in common still meet if their fingerprints are within the radius."""
+    rng = np.random.default_rng(5)
+    words = [f"w{x}" for x in rng.integers(0, 5000, 400)]
+    rows = [(k, " ".join([*words, f"end{k}"])) for k in range(6)]
+    prints = [simhash.fingerprint(text.encode(), shingles.SHINGLE_WORDS) for _, text in rows]
+    assert max((prints[0] ^ p).bit_count() for p in prints) <= simhash.RADIUS
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    numbered = docs.withColumn("record", F.struct("doc_id", "text")).withColumn("row_number", F.col("doc_id"))
+    workspace = Workspace(spark)
+    apart = F.transform(F.sequence(F.lit(0), F.lit(shingles.BANDS - 1)), lambda k: F.col("doc_id") * shingles.BANDS + k)
+    stored = workspace.table(shingles.signed(numbered).drop("text").withColumn("keys", apart), "shingled")
+    assert shingles.groups(stored, workspace).select("root").distinct().count() == 1
+
+
+def test_differences_leave_no_similar_pair_out(spark):
+    """All pairs of one crowd through their differences from a centre: every similar one meets or is near the centre, few others do."""
+    rng = np.random.default_rng(7)
+    words = [f"w{x}" for x in rng.integers(0, 5000, 150)]
+    texts = []
+    for _ in range(60):
+        copy = list(words)
+        for at in rng.integers(0, 150, rng.integers(0, 8)):
+            copy[at] = f"new{rng.integers(0, 40)}"
+        texts.append(" ".join(copy))
+    sets = [set(shingles.shingle_set(t.encode()).tolist()) for t in texts]
+    centre = 30
+    rows = [(k, centre, len(s), [int(np.uint64(e).view(np.int64)) for e in s ^ sets[centre]], False) for k, s in enumerate(sets) if k != centre]
+    differences = spark.createDataFrame(rows, "a long, b long, n long, elements array<long>, near boolean")
+    rooted = spark.createDataFrame([], "fp long, root long")
+    met = {(r["a"], r["b"]) for r in shingles._by_differences(differences, rooted).collect()}
+    similar = lambda x, y: 5 * len(sets[x] & sets[y]) >= 4 * len(sets[x] | sets[y])
+    others = [k for k in range(60) if k != centre]
+    for x, y in combinations(others, 2):
+        if similar(x, y):
+            assert (x, y) in met or (similar(x, centre) and similar(y, centre))
+    assert len(met) < 0.6 * len(others) * (len(others) - 1) / 2
