@@ -303,4 +303,7 @@ def one_per_group(docs: DataFrame, workspace: Workspace | None = None) -> DataFr
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row_number")
     winners = members.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(rank).alias("rank"))
     winners = workspace.table(winners.select(F.col("rank.row_number").alias("winner")), "winners")
-    return stored.join(winners, F.col("row_number") == F.col("winner"), "left_semi").select("record.*")
+    # fewer rows go than stay, so their numbers may be broadcast longer
+    losers = stored.select("row_number").join(winners, F.col("row_number") == F.col("winner"), "left_anti")
+    losers = workspace.table(losers.select(F.col("row_number").alias("loser")), "losers")
+    return stored.join(losers, F.col("row_number") == F.col("loser"), "left_anti").select("record.*")
