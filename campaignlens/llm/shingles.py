@@ -5,9 +5,10 @@ Candidates come from two searches, and whole sets of 64-bit shingle hashes decid
 0.8 differs in ten of 64 bits on average, which no radius that can be searched covers; so those that share one of ``BANDS`` keys of
 ``BAND_ROWS`` minimum hashes and whose sketches agree are candidates too: a pair at similarity 0.8 shares no key with
 probability (1 - 0.8**5)**25 = 5e-5, more similar ones less. Keys with many sets are worked off in rounds: in each, a growing
-hashed share of a key's sets, its hubs, meets all others that aren't connected to it yet. What ``_ROUNDS`` rounds leave apart is
-compared by differences: every set of a key is stated as its difference from one set of the key, the centre, and only sets
-meet whose differences have an element in common early enough in order of frequency (a positional prefix filter, which loses no pair).
+hashed share of a key's sets, its hubs, meets all others that aren't connected to it yet. Keys whose sets ``_ROUNDS`` rounds leave
+apart form crowds, those with a set in common the same one. A crowd is compared by differences: every set is stated once, as its
+difference from one set of the crowd, the centre, and only sets meet whose differences have an element in common early enough in
+order of frequency (a positional prefix filter, which loses no pair).
 
 Defined results: a text with fewer words than a shingle is one shingle, a null or empty text the empty set; equal sets
 are one group; rows without an id lose to those with one; an empty table gives an empty result.
@@ -23,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from campaignlens.llm import simhash
 from campaignlens.llm.common import Workspace, text_bytes
@@ -38,9 +39,12 @@ BAND_ROWS = 5
 LEAST_AGREEING = 80
 _FIRST_SHARE = 1
 _GROWTH = 16
-_ROUNDS = 2
+_ROUNDS = 1
 _SMALL_KEY = 4
 _SALT_ROWS = 512
+#: Of so many differences one is counted to put elements in order; frequent ones are in one of so many of those, or in more.
+_COUNTED = 4
+_OFTEN = 64
 _AT_ONCE = 2048
 _HASHES = WordHashes()
 _RNG = np.random.default_rng(42)
@@ -181,23 +185,53 @@ def _differences(pairs: DataFrame, texts: DataFrame, workspace: Workspace) -> Da
     return _dealt(pairs, texts, workspace).mapInArrow(differ, schema)
 
 
-def _by_differences(differences: DataFrame, rooted: DataFrame) -> DataFrame:
+def _centred(links: DataFrame, met: DataFrame, workspace: Workspace) -> DataFrame:
+    """Sets ``a`` connected by pairs ``met`` and the centre ``b`` of their crowd: the set with most ``links`` to it, as its differences are short."""
+    linked = components(met, workspace)
+    crowds = linked.union(linked.select(F.col("root").alias("fp"), "root").distinct())
+    liked = links.groupBy(F.col("b").alias("fp")).agg(F.count(F.lit(1)).alias("times"))
+    rank = F.struct(F.coalesce("times", F.lit(0)), "fp")
+    centres = crowds.join(liked, "fp", "left").groupBy("root").agg(F.max_by("fp", rank).alias("b"))
+    return crowds.join(centres, "root").filter("fp != b").select(F.col("fp").alias("a"), "b")
+
+
+def _first_elements(differences: DataFrame) -> DataFrame:
+    """Elements ``e`` that may be the first common one of a difference and another, with ``left``, how many there are from there to the end.
+
+    Of sets with s elements in only one of them, differences of d elements have d - s in common at least, and s is at most
+    (x + y) / 9 with y <= 5 x / 4: the first common one is among the first x / 4 + 1. That holds for any order. Elements that are
+    frequent go last; how frequent is counted in some of the differences, which is enough for an order.
+    """
+    t, u = SIMILARITY
+    sure, least = u + t, u - t
+    counted = differences.filter(F.pmod(F.xxhash64("a", F.lit(11)), F.lit(_COUNTED)) == 0).select("b", "elements")
+    sizes = counted.groupBy("b").agg(F.count(F.lit(1)).alias("m"))
+    times = counted.select("b", F.explode("elements").alias("e")).groupBy("b", "e").agg(F.count(F.lit(1)).alias("times"))
+    often = times.join(sizes, "b").filter(F.col("times") * _OFTEN >= F.col("m"))
+    often = often.groupBy("b").agg(F.sort_array(F.collect_list(F.struct("times", "e")))["e"].alias("often"))
+    known = differences.join(often, "b", "left").withColumn("often", F.coalesce("often", F.array().cast("array<long>")))
+    ordered = F.concat(F.array_sort(F.array_except("elements", "often")), F.array_intersect("often", "elements"))
+    first = F.slice(ordered, F.lit(1), F.expr(f"cast(n * {least * (t + u)} div {t * sure} + 1 as int)"))
+    each = known.select("a", "b", "n", F.size("elements").alias("d"), F.posexplode(first).alias("at", "e"))
+    return each.withColumn("left", F.col("d") - F.col("at")).drop("at")
+
+
+def _by_differences(differences: DataFrame, rooted: DataFrame, workspace: Workspace | None = None) -> DataFrame:
     """Pairs ``(a, b)`` of sets with the same centre that aren't connected yet and may be similar.
 
     Sets of x and y elements with s elements in only one of them are similar if 9 s <= x + y, and s is the size of both
-    differences without twice their common elements. Elements of a difference go from the rarest to the most frequent; if the first common one has
-    ``left`` elements from there to the end, no more than the lesser ``left`` are common. (If none need be, both are near the centre.)
+    differences without twice their common elements. If the first common one has ``left`` elements from there to the end, no more
+    than the lesser ``left`` are common. (If none need be, both are near the centre.)
     """
+    workspace = workspace or Workspace(differences.sparkSession)
     t, u = SIMILARITY
     sure, least = u + t, u - t  # similar: sure * s <= least * (x + y)
-    by_centre = Window.partitionBy("b", "a").orderBy(F.desc("times"), F.desc("e"))
-    known = differences.select("a", "b", "n", F.size("elements").alias("d"), "elements").join(rooted.withColumnRenamed("fp", "a"), "a", "left")
-    known = known.withColumn("root", F.coalesce("root", "a"))
-    each = known.select("a", "b", "n", "d", "root", F.explode("elements").alias("e"))
+    each = workspace.table(_first_elements(differences), "elements")
     times = each.groupBy("b", "e").agg(F.count(F.lit(1)).alias("times"), F.min("d").alias("d_least")).filter("times > 1")
-    each = each.join(times, ["b", "e"]).withColumn("left", F.row_number().over(by_centre))
     # no partner is closer to the centre than d_least, nor larger than n * u / t
-    each = each.filter(2 * t * sure * F.col("left") >= t * sure * (F.col("d") + F.col("d_least")) - least * (t + u) * F.col("n"))
+    near = 2 * t * sure * F.col("left") >= t * sure * (F.col("d") + F.col("d_least")) - least * (t + u) * F.col("n")
+    each = each.join(times, ["b", "e"]).filter(near).join(rooted.withColumnRenamed("fp", "a"), "a", "left")
+    each = workspace.table(each.select("a", "b", "e", "n", "d", "left", F.coalesce("root", "a").alias("root")), "shared")
     one, two = (each.select("b", "e", *[F.col(c).alias(f"{c}_{k}") for c in ("a", "n", "d", "root", "left")]) for k in (1, 2))
     sizes = F.least("n_1", "n_2") * u >= F.greatest("n_1", "n_2") * t
     enough = 2 * sure * F.least("left_1", "left_2") >= sure * (F.col("d_1") + F.col("d_2")) - least * (F.col("n_1") + F.col("n_2"))
@@ -284,10 +318,12 @@ def groups(stored: DataFrame, workspace: Workspace) -> DataFrame:
         if live.isEmpty():
             return rooted
         at, live = live, live.drop("root")
-    centres = workspace.table(live.groupBy("band", "key").agg(F.min_by("fp", "place").alias("b")), "centres")
-    members = live.select("band", "key", F.col("fp").alias("a")).join(centres, ["band", "key"]).filter("a != b").select("a", "b").distinct()
-    differences = workspace.table(_differences(workspace.table(members, "members"), texts, workspace), "differences")
-    pairs = workspace.table(_promising(_by_differences(differences, rooted), sketches), "pairs")
+    firsts = live.groupBy("band", "key").agg(F.min_by("fp", "place").alias("b"))
+    met = live.select("band", "key", F.col("fp").alias("a")).join(firsts, ["band", "key"]).filter("a != b").select("a", "b").distinct()
+    members = workspace.table(_centred(links, met, workspace), "members")
+    differences = workspace.table(_differences(members, texts, workspace), "differences")
+    met = workspace.table(_by_differences(differences, rooted, workspace), "met")
+    pairs = workspace.table(_promising(met, sketches), "pairs")
     links = links.union(differences.filter("near").select("a", "b")).union(verified(pairs, texts, workspace))
     return workspace.table(components(workspace.table(links, "verified"), workspace), "rooted")
 

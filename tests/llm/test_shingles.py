@@ -129,3 +129,38 @@ def test_differences_leave_no_similar_pair_out(spark):
         if similar(x, y):
             assert (x, y) in met or (similar(x, centre) and similar(y, centre))
     assert len(met) < 0.6 * len(others) * (len(others) - 1) / 2
+
+
+def test_a_crowd_is_compared_from_one_centre(spark, monkeypatch):
+    """Of a crowd of sets, most of them too far apart, each is stated once, and no similar pair stays apart."""
+    rng = np.random.default_rng(11)
+    words = [f"w{x}" for x in rng.integers(0, 5000, 150)]
+    rows = []
+    for _ in range(80):
+        copy = list(words)
+        for at in rng.integers(0, 150, rng.integers(2, 9)):
+            copy[at] = f"new{rng.integers(0, 40)}"
+        rows.append((len(rows), " ".join(copy)))
+    made = []
+    differences = shingles._differences
+
+    def counted(pairs, texts, workspace):
+        made.append(pairs)
+        return differences(pairs, texts, workspace)
+
+    monkeypatch.setattr(shingles, "_differences", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert kept_ids(shingles.one_per_group(docs)) == brute_kept(rows)
+    (pairs,) = made
+    members = [r["a"] for r in pairs.collect()]
+    assert len(set(members)) == len(members) > 0
+
+
+def test_first_elements_are_a_bounded_part(spark):
+    """Elements that every difference has aren't exploded for each of them; whatever the order, the rest suffices."""
+    common = list(range(100))
+    rows = [(k, -1, 100, [*common, *range(1000 * k, 1000 * k + 30)], False) for k in range(1, 41)]
+    differences = spark.createDataFrame(rows, "a long, b long, n long, elements array<long>, near boolean")
+    first = shingles._first_elements(differences).collect()
+    assert len(first) == 40 * 26 and not any(r["e"] in common for r in first)
+    assert {r["left"] for r in first} == set(range(105, 131))
