@@ -13,25 +13,25 @@ time, further ones if all values of the drawn ones are equal. Depth isn't limite
 
 Scale: sums are combined where the rows are, so a root's hot key is no more than its distinct values, at most ``MOST_VALUES`` per feature
 (beyond them, values are raised to the next quantile). Each level is a written table; only node tables are joined back, by key.
+Forests that are only scored grow whole in tasks if every fit is small enough for one (:mod:`campaignlens.operators.forests`).
 """
 
 from __future__ import annotations
 
-import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from campaignlens.functions.hashing import keyed_hash, poisson_weight
-from campaignlens.settings import SEED, TARGET, TRANSFORMED_FEATURES
+from campaignlens.operators import forests
+from campaignlens.settings import TARGET, TRANSFORMED_FEATURES
 from campaignlens.sources.store import durable
 
 MOST_VALUES = 65_536
 FOREST_FEATURES = 3  # the root of eleven columns, rounded down
 TREE = ["fit", "criterion", "tree"]
 _GAIN_DIGITS = 9
-_ORDERS = 251
 
 
 @dataclass(frozen=True)
@@ -71,12 +71,8 @@ def _drawn(features: int | None) -> Column:
     every = len(TRANSFORMED_FEATURES)
     if features is None:
         return F.sequence(F.lit(0), F.lit(every - 1))
-    orders = []
-    for k in range(_ORDERS):
-        order = list(range(every))
-        random.Random(SEED * 1000 + k).shuffle(order)
-        orders.append("array(" + ", ".join(map(str, order)) + ")")
-    order = F.element_at(F.expr("array(" + ", ".join(orders) + ")"), (F.pmod(F.xxhash64(*TREE, "path"), F.lit(_ORDERS)) + 1).cast("int"))
+    orders = ["array(" + ", ".join(map(str, order)) + ")" for order in forests.feature_orders(every)]
+    order = F.element_at(F.expr("array(" + ", ".join(orders) + ")"), (F.pmod(F.xxhash64(*TREE, "path"), F.lit(len(orders))) + 1).cast("int"))
     return F.slice(order, F.col("attempt") * features + 1, features)
 
 
@@ -205,11 +201,25 @@ def forest_grid_scores(train: DataFrame, held: DataFrame, grid: Sequence[Mapping
     """``(position, fold, id, y, p)`` of held-out rows under every forest setting: mean share over its trees."""
     stops = [Stop(p.get("max_depth"), p.get("min_samples_split", 2)) for p in grid]
     distinct, sizes = list(dict.fromkeys(stops)), [int(p["n_estimators"]) for p in grid]
-    _, scores = grow(training_rows(_fits(train, held), trees=max(sizes)), distinct, FOREST_FEATURES)
-    means = [
-        F.avg(F.when(F.col("tree") < size, F.element_at("p", distinct.index(s) + 1))).alias(f"p{i}")
-        for i, (s, size) in enumerate(zip(stops, sizes, strict=True))
-    ]
-    wide = scores.groupBy("fit", "id", "y").agg(*means)
+    fits = _fits(train, held)
+    rows = training_rows(fits).drop("criterion", "tree")
+    found = forests.fit_sizes(rows)
+    if found and all(n <= forests.WHOLE_ROWS and not odd for _, _, n, odd in found):
+        limits, steps = [(s.depth, s.least_split) for s in distinct], sorted(set(sizes))
+        sums = forests.held_out_sums(rows, [(fit, hashed) for fit, hashed, _, _ in found], limits, sizes, FOREST_FEATURES)
+        means = []
+        for i, (s, size) in enumerate(zip(stops, sizes, strict=True)):
+            upto = range(steps.index(size) + 1)
+            grown = sum((F.col("counts")[k] for k in upto), F.lit(0))
+            share = sum((F.col("sums")[k * len(distinct) + distinct.index(s)] for k in upto), F.lit(0))
+            means.append(F.when(grown > 0, share / F.lit(float(forests.UNIT)) / grown).alias(f"p{i}"))
+        wide = sums.select("fit", "id", "y", *means)
+    else:
+        _, scores = grow(training_rows(fits, trees=max(sizes)), distinct, FOREST_FEATURES)
+        means = [
+            F.avg(F.when(F.col("tree") < size, F.element_at("p", distinct.index(s) + 1))).alias(f"p{i}")
+            for i, (s, size) in enumerate(zip(stops, sizes, strict=True))
+        ]
+        wide = scores.groupBy("fit", "id", "y").agg(*means)
     settings = F.array(*[F.struct(F.lit(i).alias("position"), F.col(f"p{i}").alias("p")) for i in range(len(stops))])
     return wide.withColumn("s", F.explode(settings)).select("s.position", F.col("fit").alias("fold"), "id", "y", "s.p")

@@ -263,3 +263,41 @@ def test_widths_and_types(spark):
     assert checks.width_check(rows).first().asDict() == {"rows": 2, "wrong": 1, "ok": False}
     types = exploration.column_types(spark.createDataFrame([], "id bigint, name string"))
     assert [tuple(r) for r in types.orderBy("position").collect()] == [(0, "id", "bigint"), (1, "name", "string")]
+
+
+def test_hashes_of_arrays_equal_the_engine(spark):
+    from campaignlens.functions.hashing import xxhash64_bytes, xxhash64_int
+
+    paths = ["", "L", "LRLR", "LRLRL", "LLRRLRLR", "LRLRLRLRLRLRLRR", "R" * 31, "LR" * 16, "LRR" * 25]
+    rows = spark.createDataFrame([(f, t, p) for f in (0, 4) for t in (0, 149) for p in paths], "fit int, tree int, path string")
+    hashed = rows.select("*", F.xxhash64("fit", F.lit("gini")).alias("seed"), F.xxhash64("fit", F.lit("gini"), "tree", "path").alias("hash"))
+    for r in hashed.collect():
+        seed = xxhash64_int(np.array([r["tree"]]), np.array([r["seed"]]).view(np.uint64))
+        texts = np.frombuffer((r["path"] * 2).encode(), np.uint8).reshape(2, -1) if r["path"] else np.zeros((2, 0), np.uint8)
+        assert xxhash64_bytes(texts, seed[0]).view(np.int64).tolist() == [r["hash"]] * 2
+
+
+def test_whole_forests_equal_forests_by_level(spark, monkeypatch):
+    """Two fits; many equal values, so that nodes draw constant features; copies of one row under both labels, ids that repeat."""
+    from campaignlens.operators import forests
+
+    x, y = table(12, 300)
+    x = np.concatenate([x[:, :2].round(1), np.ones((300, 5)), x[:, 7:]], axis=1)
+    x[250:260], x[100:110] = x[0], x[0]
+    data = frame(spark, x, y, 0, np.r_[np.ones(240), np.zeros(60)]).union(frame(spark, x[::-1] * 1.5, y[::-1], 1, np.r_[np.ones(200), np.zeros(100)]))
+    data = data.union(data.where("id < 5 OR id > 295"))
+    grid = [{"n_estimators": n, "max_depth": d, "min_samples_split": m} for n in (3, 7) for d in (2, None) for m in (2, 5)]
+    run = lambda: {(r["position"], r["fold"], r["id"], r["y"]): r["p"] for r in trees.forest_grid_scores(data.where("w > 0"), data.where("w = 0"), grid).collect()}
+    found = run()
+    monkeypatch.setattr(forests, "WHOLE_ROWS", 0)
+    assert found == pytest.approx(run(), abs=1e-12) and len(found) == 160 * len(grid)
+
+
+def test_a_forest_takes_a_job_or_two_not_some_a_level(spark):
+    x, y = table(13, 200)
+    data = durable(frame(spark, x, y, 0, np.r_[np.ones(150), np.zeros(50)]))
+    spark.sparkContext.setJobGroup("forest", "forest")
+    trees.forest_grid_scores(data.where("w > 0"), data.where("w = 0"), [{"n_estimators": 10, "max_depth": None}]).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("forest")
+    spark.sparkContext.setJobGroup("", "")
+    assert 0 < len(jobs) < 10
