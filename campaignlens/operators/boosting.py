@@ -12,6 +12,9 @@ values take the median (or most frequent group) of the fit's own training rows.
 
 Scale: a row is a few dozen bytes plus one score per fit, rewritten every ``_TREES_PER_TABLE`` trees, so a lost executor costs at
 most that many trees of one task. Histograms are bounded by fits, nodes and bins, not by rows.
+
+A search over at most ``WHOLE_ROWS`` rows needs no job a level: rows are dealt once, in blocks, to one task per fit, which grows its whole
+ensemble from the same histograms and cuts.
 """
 
 from __future__ import annotations
@@ -34,6 +37,9 @@ _ROWS_PER_FILE = 4096
 _ROWS_AT_ONCE = 65_536
 _WORTH_DIGITS = 9
 _LEAST_WORTH = 1e-9
+WHOLE_ROWS = 1 << 20
+_ROWS_OUT = 65_536
+_FOUND = ["fit", "node", "feature", "bin", "next", "n_l", "g_l", "h_l", "n_r", "g_r", "h_r"]
 
 
 @dataclass(frozen=True)
@@ -73,6 +79,23 @@ class Tree:
             node[inner] = 2 * at + (codes[inner, feature[inner]] > self.cut[at])
         return node
 
+    def split(self, found: Mapping[str, float], level: int, edges: Sequence[np.ndarray]) -> list[int]:
+        """Enter a node's best cut, or its value if there is none; the children to be cut next."""
+        node = found["node"]
+        if found["feature"] < 0:
+            self.value[node], self.rows[node] = _newton(found["g_l"], found["h_l"]), found["n_l"]
+            return []
+        values = edges[found["feature"]]
+        middle = (values[found["bin"]] + values[found["next"]]) / 2
+        self.feature[node], self.threshold[node], self.rows[node] = found["feature"], middle, found["n_l"] + found["n_r"]
+        self.cut[node] = np.searchsorted(values, middle, side="right") - 1
+        children = []
+        for child, side in ((2 * node, "l"), (2 * node + 1, "r")):
+            self.value[child], self.rows[child] = _newton(found[f"g_{side}"], found[f"h_{side}"]), found[f"n_{side}"]
+            if level + 1 < self.depth and self.rows[child] > 1:
+                children.append(child)
+        return children
+
 
 @dataclass(frozen=True)
 class Bins:
@@ -211,8 +234,7 @@ class Boosting:
         for fit in self.fits:
             ones = sum(r["ones"] for r in counted if r["fold"] != fit.fold)
             n = sum(r["n"] for r in counted if r["fold"] != fit.fold)
-            share = min(max(ones / max(n, 1), 1e-12), 1 - 1e-12)
-            self.start.append(float(np.log(share / (1 - share))))
+            self.start.append(_start(ones, n))
         files = min(-(-size // _ROWS_PER_FILE), 2 * rows.sparkSession.sparkContext.defaultParallelism)
         self.recent: list[list[Tree]] = [[] for _ in self.fits]
         self.trees: list[list[Tree]] = [[] for _ in self.fits]
@@ -260,7 +282,7 @@ class Boosting:
             made += [pa.array(found["sides"][:, k], pa.float64()) for k in range(6)]
             yield pa.RecordBatch.from_arrays(made, names)
 
-        names = ["fit", "node", "feature", "bin", "next", "n_l", "g_l", "h_l", "n_r", "g_r", "h_r"]
+        names = _FOUND
         schema = ", ".join(f"{n} bigint" for n in names[:5]) + ", " + ", ".join(f"{n} double" for n in names[5:])
         summed = self.table.mapInArrow(cells, "fit int, node bigint, cell int, n double, g double, h double")
         return summed.repartition("fit", "node").mapInArrow(cuts, schema).collect()  # one row per fit and open node
@@ -275,18 +297,7 @@ class Boosting:
             found = self._level(growing, open_nodes)
             open_nodes = [set() for _ in self.fits]
             for r in found:
-                tree, node = growing[r["fit"]], r["node"]
-                if r["feature"] < 0:
-                    tree.value[node], tree.rows[node] = _newton(r["g_l"], r["h_l"]), r["n_l"]
-                    continue
-                edges = self.bins.edges[r["feature"]]
-                middle = (edges[r["bin"]] + edges[r["next"]]) / 2
-                tree.feature[node], tree.threshold[node], tree.rows[node] = r["feature"], middle, r["n_l"] + r["n_r"]
-                tree.cut[node] = np.searchsorted(edges, middle, side="right") - 1
-                for child, side in ((2 * node, "l"), (2 * node + 1, "r")):
-                    tree.value[child], tree.rows[child] = _newton(r[f"g_{side}"], r[f"h_{side}"]), r[f"n_{side}"]
-                    if level + 1 < tree.depth and tree.rows[child] > 1:
-                        open_nodes[r["fit"]].add(child)
+                open_nodes[r["fit"]].update(growing[r["fit"]].split(r, level, self.bins.edges))
         for i, tree in enumerate(growing):
             tree.value[tree.feature >= 0] = 0.0
             self.trees[i].append(tree)
@@ -346,12 +357,102 @@ def _newton(gradient: float, bend: float) -> float:
     return gradient / bend if abs(bend) > 1e-150 else 0.0
 
 
+def _start(ones: float, n: float) -> float:
+    share = min(max(ones / max(n, 1), 1e-12), 1 - 1e-12)
+    return float(np.log(share / (1 - share)))
+
+
+def _whole_tree(codes: np.ndarray, gradient: np.ndarray, bend: np.ndarray, depth: int, bins: Bins) -> tuple[Tree, np.ndarray]:
+    """A tree on rows ``codes[feature, row]``, and the node that each row ends in."""
+    tree, offsets = Tree(depth), bins.offsets
+    node, open_nodes = np.ones(codes.shape[1], int), [1]
+    for level in range(depth):
+        number = np.full(len(tree.feature), -1)
+        number[open_nodes] = np.arange(len(open_nodes))
+        rows = np.flatnonzero(number[node] >= 0)
+        if not len(rows):
+            break
+        of = number[node[rows]]
+        sums = np.zeros((3, len(open_nodes), offsets[-1]))
+        weights = (None, gradient[rows], bend[rows])
+        for f, size in enumerate(np.diff(offsets)):
+            place = of * size + codes[f, rows]
+            for k, w in enumerate(weights):
+                sums[k, :, offsets[f] : offsets[f + 1]] = np.bincount(place, w, len(open_nodes) * size).reshape(-1, size)
+        at, cell = np.nonzero(sums[0])
+        found = best_cuts(np.zeros(len(at), int), np.array(open_nodes)[at], cell, sums[:, at, cell].T, offsets)
+        columns = [*(found[c].tolist() for c in _FOUND[:5]), *found["sides"].T.tolist()]
+        open_nodes = sorted(c for r in zip(*columns, strict=True) for c in tree.split(dict(zip(_FOUND, r, strict=True)), level, bins.edges))
+        rows = rows[tree.feature[node[rows]] >= 0]
+        stood = node[rows]
+        node[rows] = 2 * stood + (codes[tree.feature[stood], rows] > tree.cut[stood])
+    tree.value[tree.feature >= 0] = 0.0
+    return tree, node
+
+
+def whole_ensemble(raw: np.ndarray, y: np.ndarray, fold: np.ndarray, fit: Fit, bins: Bins, stops: Sequence[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """``(trees, p)`` after every number of trees of ``stops``, ascending: probabilities of the rows of the fit's left-out fold."""
+    codes, seen = bins.codes(raw, fit.fold), fold != fit.fold
+    held, codes, y = codes[~seen], np.ascontiguousarray(codes[seen].T.astype(np.int32)), y[seen]
+    start = _start(y.sum(), len(y))
+    scores, out = np.full(len(y), start), np.full(len(held), start)
+    for trees in range(1, max(stops) + 1):
+        p = 0.5 * np.tanh(0.5 * scores) + 0.5
+        tree, node = _whole_tree(codes, y - p, p * (1 - p), fit.depth, bins)
+        scores += fit.rate * tree.value[node]
+        out += fit.rate * tree.value[tree.nodes(held)]
+        if trees in stops:
+            yield trees, 0.5 * np.tanh(0.5 * out) + 0.5
+
+
+def whole_scores(rows: DataFrame, bins: Bins, fits: Sequence[Fit], stops: Sequence[int]) -> DataFrame:
+    """``(fit, trees, fold, id, y, p)``: held-out scores of every fit after every number of trees of ``stops``, one task per fit."""
+    import pyarrow as pa
+
+    order = sorted(range(len(fits)), key=lambda i: -fits[i].depth)  # long tasks first
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = [batch.column(i).to_numpy().astype(kind).tobytes() for i, kind in enumerate((np.int64, np.int32, np.int32))]
+            blocks.append(b"".join(batch.column(3).to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in blocks], ["id", "y", "fold", "codes"])
+
+    def grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, list[dict]] = {}
+        for batch in batches:
+            for block in batch.to_pylist():
+                blocks.setdefault(block["fit"], []).append(block)
+        for i, found in blocks.items():
+            ids, y, fold, raw = (np.frombuffer(b"".join(b[c] for b in found), kind) for c, kind in (("id", np.int64), ("y", np.int32), ("fold", np.int32), ("codes", np.uint16)))
+            held = np.flatnonzero(fold == fits[i].fold)
+            for trees, p in whole_ensemble(raw.reshape(len(ids), -1), y, fold, fits[i], bins, stops):
+                for at in range(0, len(held), _ROWS_OUT):
+                    cut = held[at : at + _ROWS_OUT]
+                    same = [pa.array(np.full(len(cut), v), pa.int32()) for v in (i, trees, fits[i].fold)]
+                    yield pa.RecordBatch.from_arrays([*same, pa.array(ids[cut]), pa.array(y[cut]), pa.array(p[at : at + _ROWS_OUT])], ["fit", "trees", "fold", "id", "y", "p"])
+
+    packed = binned(rows, bins).mapInArrow(pack, "id binary, y binary, fold binary, codes binary")
+    tasks = F.array(*[F.struct(F.lit(k).alias("task"), F.lit(i).alias("fit")) for k, i in enumerate(order)])
+    dealt = packed.withColumn("t", F.explode(tasks)).select("id", "y", "fold", "codes", "t.task", "t.fit").repartitionById(len(fits), "task")
+    return dealt.mapInArrow(grown, "fit int, trees int, fold int, id bigint, y int, p double")
+
+
 def grid_scores(rows: DataFrame, statistics: DataFrame, grid: Sequence[Mapping[str, object]], k: int = 5, bins: int = BINS) -> DataFrame:
     """``(position, fold, id, y, p)``: out-of-fold scores of every setting; settings that differ in the number of trees share fits."""
     shapes = list(dict.fromkeys((float(p["learning_rate"]), int(p["max_depth"])) for p in grid))
     fits = [Fit(rate, depth, fold) for rate, depth in shapes for fold in range(k)]
-    model = Boosting(rows, bins_of(rows, statistics, bins), fits)
+    found = bins_of(rows, statistics, bins)
     stops = sorted({int(p["n_estimators"]) for p in grid})
+    odd = F.col("id").isNull() | F.col(TARGET).isNull() | F.col("fold").isNull()
+    size = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(odd).alias("odd")).first()
+    if size["rows"] <= WHOLE_ROWS and not size["odd"]:
+        places = F.array(*[
+            F.struct(F.lit(i).alias("position"), F.lit(shapes.index((float(p["learning_rate"]), int(p["max_depth"])))).alias("shape"), F.lit(int(p["n_estimators"])).alias("trees"))
+            for i, p in enumerate(grid)
+        ])
+        mine = F.filter(places, lambda s: (s["shape"] == F.floor(F.col("fit") / k)) & (s["trees"] == F.col("trees")))
+        return whole_scores(rows, found, fits, stops).withColumn("s", F.explode(mine)).select("s.position", "fold", "id", "y", "p")
+    model = Boosting(rows, found, fits)
     parts = None
     for trees in range(1, stops[-1] + 1):
         model.grow_tree()

@@ -281,23 +281,46 @@ def test_whole_forests_equal_forests_by_level(spark, monkeypatch):
     """Two fits; many equal values, so that nodes draw constant features; copies of one row under both labels, ids that repeat."""
     from campaignlens.operators import forests
 
-    x, y = table(12, 300)
-    x = np.concatenate([x[:, :2].round(1), np.ones((300, 5)), x[:, 7:]], axis=1)
-    x[250:260], x[100:110] = x[0], x[0]
-    data = frame(spark, x, y, 0, np.r_[np.ones(240), np.zeros(60)]).union(frame(spark, x[::-1] * 1.5, y[::-1], 1, np.r_[np.ones(200), np.zeros(100)]))
-    data = data.union(data.where("id < 5 OR id > 295"))
-    grid = [{"n_estimators": n, "max_depth": d, "min_samples_split": m} for n in (3, 7) for d in (2, None) for m in (2, 5)]
+    x, y = table(12, 120)
+    x = np.concatenate([x[:, :2].round(1), np.ones((120, 5)), x[:, 7:]], axis=1)
+    x[85:95], x[40:50] = x[0], x[0]
+    data = frame(spark, x, y, 0, np.r_[np.ones(90), np.zeros(30)]).union(frame(spark, x[::-1] * 1.5, y[::-1], 1, np.r_[np.ones(80), np.zeros(40)]))
+    data = data.union(data.where("id < 5 OR id > 115"))
+    grid = [{"n_estimators": n, "max_depth": d, "min_samples_split": m} for n in (2, 4) for d in (2, None) for m in (2, 5)]
     run = lambda: {(r["position"], r["fold"], r["id"], r["y"]): r["p"] for r in trees.forest_grid_scores(data.where("w > 0"), data.where("w = 0"), grid).collect()}
     found = run()
     monkeypatch.setattr(forests, "WHOLE_ROWS", 0)
-    assert found == pytest.approx(run(), abs=1e-12) and len(found) == 160 * len(grid)
+    assert found == pytest.approx(run(), abs=1e-12) and len(found) == 70 * len(grid)
+
+
+def jobs_of(spark, name: str, rows) -> int:
+    """Number of jobs that ``rows()`` takes until it is collected."""
+    spark.sparkContext.setJobGroup(name, name)
+    rows().collect()
+    spark.sparkContext.setJobGroup("", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
 
 
 def test_a_forest_takes_a_job_or_two_not_some_a_level(spark):
     x, y = table(13, 200)
     data = durable(frame(spark, x, y, 0, np.r_[np.ones(150), np.zeros(50)]))
-    spark.sparkContext.setJobGroup("forest", "forest")
-    trees.forest_grid_scores(data.where("w > 0"), data.where("w = 0"), [{"n_estimators": 10, "max_depth": None}]).collect()
-    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("forest")
-    spark.sparkContext.setJobGroup("", "")
-    assert 0 < len(jobs) < 10
+    grid = [{"n_estimators": 10, "max_depth": None}]
+    assert 0 < jobs_of(spark, "forest", lambda: trees.forest_grid_scores(data.where("w > 0"), data.where("w = 0"), grid)) < 10
+
+
+def test_whole_ensembles_equal_ensembles_by_level(spark, monkeypatch):
+    rows = durable(customers(spark, 7, 150))
+    statistics = durable(fold_statistics(rows, range(3)))
+    grid = [{"n_estimators": n, "learning_rate": r, "max_depth": d} for r in (0.1, 0.4) for d in (2, 4) for n in (3, 1)]
+    run = lambda: {(r["position"], r["fold"], r["id"], r["y"]): r["p"] for r in boosting.grid_scores(rows, statistics, grid, k=3, bins=12).collect()}
+    found = run()
+    monkeypatch.setattr(boosting, "WHOLE_ROWS", 0)
+    assert found == pytest.approx(run(), abs=1e-12) and len(found) == 150 * len(grid)
+
+
+def test_more_trees_and_levels_take_no_more_jobs(spark):
+    rows = durable(customers(spark, 9, 120))
+    statistics = durable(fold_statistics(rows, range(3)))
+    one, many = ([{"n_estimators": n, "learning_rate": 0.1, "max_depth": d}] for n, d in ((1, 1), (12, 4)))
+    few = jobs_of(spark, "one tree", lambda: boosting.grid_scores(rows, statistics, one, k=3))
+    assert few == jobs_of(spark, "many trees", lambda: boosting.grid_scores(rows, statistics, many, k=3))
