@@ -128,7 +128,7 @@ def tree_shares(
     node, paths = np.zeros(len(rows), np.int64), np.zeros((1, 0), np.uint8)
     shares = np.full((len(stops), held.shape[1]), np.nan)
     walking, at = np.arange(held.shape[1]), np.zeros(held.shape[1], np.int64)
-    depth = 0
+    depth, live = 0, list(range(len(stops)))
     while len(walking):
         count = len(paths)
         heavy = pair >> 1
@@ -148,13 +148,15 @@ def tree_shares(
                     middle = (v + following) / 2
                     threshold[where[cut]] = np.where(middle < following, middle, v)
         leaf, share = feature < 0, n1 / n
-        for j, (limit, split) in enumerate(stops):
-            stopping = leaf | (n < split) | (limit is not None and limit <= depth)
-            here = walking[stopping[at]]
-            here_share = share[at[stopping[at]]]
-            unset = np.isnan(shares[j, here])
-            shares[j, here[unset]] = here_share[unset]
-        going = ~leaf[at] & np.isnan(shares[:, walking]).any(axis=0)
+        waiting = np.zeros(len(walking), bool)
+        for j in live:
+            limit, split = stops[j]
+            unset = np.isnan(shares[j, walking])
+            stopping = unset & (leaf | (n < split) | (limit is not None and limit <= depth))[at]
+            shares[j, walking[stopping]] = share[at[stopping]]
+            waiting |= unset & ~stopping
+        live = [j for j in live if stops[j][0] is None or stops[j][0] > depth]
+        going = np.flatnonzero(waiting)
         walking, at = walking[going], at[going]
         child = 2 * at + (held[feature[at], walking] > threshold[at])
         reached = np.zeros(2 * count, bool)

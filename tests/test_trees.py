@@ -324,3 +324,19 @@ def test_more_trees_and_levels_take_no_more_jobs(spark):
     one, many = ([{"n_estimators": n, "learning_rate": 0.1, "max_depth": d}] for n, d in ((1, 1), (12, 4)))
     few = jobs_of(spark, "one tree", lambda: boosting.grid_scores(rows, statistics, one, k=3))
     assert few == jobs_of(spark, "many trees", lambda: boosting.grid_scores(rows, statistics, many, k=3))
+
+
+def test_the_published_forests_take_a_few_jobs(spark):
+    """All 24 settings: 150 trees of any depth, and shallow ones that end before them."""
+    from campaignlens.operators.classifiers import grid
+
+    x, y = table(14, 90)
+    data = durable(frame(spark, x, y, 2, np.r_[np.ones(70), np.zeros(20)]))
+    settings, found = list(grid("Random Forest")), []
+
+    def scores():
+        found.append(durable(trees.forest_grid_scores(data.where("w > 0"), data.where("w = 0"), settings)))
+        return found[0]
+
+    assert 0 < jobs_of(spark, "published", scores) < 12
+    assert found[0].where("p BETWEEN 0 AND 1").groupBy("position").count().where("count = 20").count() == len(settings) == 24
