@@ -340,3 +340,34 @@ def test_the_published_forests_take_a_few_jobs(spark):
 
     assert 0 < jobs_of(spark, "published", scores) < 12
     assert found[0].where("p BETWEEN 0 AND 1").groupBy("position").count().where("count = 20").count() == len(settings) == 24
+
+
+def test_additive_attributions_equal_those_of_scored_rows(spark):
+    """The scorecard on arrays against the same scorecard on rows, whose values are missing, equal, or share an id."""
+    from campaignlens.operators import explain
+    from campaignlens.operators.scorecard import INTERCEPT, score_curve, score_terms, scorecard
+    from campaignlens.settings import FEATURES
+
+    rows = customers(spark, 15, 40)
+    rows = rows.union(rows.where("id < 3").withColumn("income", F.lit(90000.0))).union(rows.where("id = 5")).withColumn("income", F.col("income") * 1e5)
+    background = customers(spark, 16, 60).union(customers(spark, 16, 60).where("id < 20"))
+    score = lambda df: df.withColumn("p", scorecard())
+
+    def absent(df):
+        raise AssertionError("no row is scored by itself")
+
+    card = explain.AdditiveScore(absent, INTERCEPT, score_terms, score_curve)
+    found = {(r["id"], r["feature"]): r["phi"] for r in explain.exact_shapley_values(card, rows, background).collect()}
+    plain = {(r["id"], r["feature"]): r["phi"] for r in explain.exact_shapley_values(score, rows, background).collect()}
+    assert len(found) == 40 * len(FEATURES) and found == pytest.approx(plain, abs=1e-12)
+    assert explain.exact_shapley_values(card, rows.limit(0), background).isEmpty()
+    assert explain.exact_shapley_values(card, rows, background.limit(0)).isEmpty()
+
+
+def test_the_curve_of_the_scorecard_rounds_half_even(spark):
+    from campaignlens.operators.scorecard import SCORE_DIGITS, score_curve
+
+    z = np.r_[np.random.default_rng(17).normal(0, 3, 5000), 0.0, -40.0, 40.0]
+    p = F.bround(F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("z"))), SCORE_DIGITS)
+    rows = spark.createDataFrame([(i, float(v)) for i, v in enumerate(z)], "i int, z double").select("i", p.alias("p")).orderBy("i").collect()
+    assert [r["p"] for r in rows] == score_curve(z).tolist()
